@@ -90,6 +90,7 @@ COMBO_FLAGS = {"Interactions": ["tech_combo_ai", "tech_combo_blockchain"]}
 PAY_AMOUNT = r"\d{2,3}k|\d{5,6}"
 PAY_RANGE_AMOUNT = r"\d{2,3}k?|\d{5,6}"
 PAY_SYMBOL = r"[\$€£]"
+PAY_SYMBOLS = "$€£"
 GBP_MARKS = ["£", "gbp"]
 EUR_MARKS = ["€", "eur"]
 HOURLY_BELOW = 200          # amounts below this are read as an hourly rate

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from jobsignals.fixed_values import (
     EUR_MARKS, GBP_MARKS, HOURLY_BELOW, HOURS_PER_YEAR, PAY_AMOUNT,
-    PAY_RANGE_AMOUNT, PAY_SYMBOL, THOUSANDS_BELOW,
+    PAY_RANGE_AMOUNT, PAY_SYMBOL, PAY_SYMBOLS, THOUSANDS_BELOW, WHITESPACE,
 )
 from jobsignals.functions.text import SPACE, has_any
 
@@ -42,6 +42,12 @@ def amount(token: Column) -> Column:
     return F.replace(token, F.lit("k"), F.lit("000")).try_cast("bigint")
 
 
+def range_end(found: Column, side: int) -> Column:
+    """Amount before (1) or after (-1) the dash of a matched range."""
+    token = F.substring_index(found, "-", side)
+    return amount(F.translate(token, PAY_SYMBOLS + WHITESPACE, ""))
+
+
 def yearly(value: Column) -> Column:
     return F.when(value < HOURLY_BELOW, value * HOURS_PER_YEAR).otherwise(value)
 
@@ -77,13 +83,13 @@ def with_salary(df: DataFrame, low: str = "low") -> DataFrame:
     """
     t = F.col("_pay")
     found, lo, hi = F.col("_pay_range"), F.col("_pay_lo"), F.col("_pay_hi")
-    # Matching RANGE against its own match yields the same groups, so the two
-    # group reads run over a handful of characters instead of the post.
+    # A matched range holds one dash, two amounts and otherwise only symbols and
+    # blanks, so its ends are cut out without another regex.
     df = (df.withColumn("_pay", pay_text(F.col(low)))
           .withColumn("_pay_range", F.when(t.contains("-"), F.regexp_extract(t, RANGE, 0)))
           .withColumns({
-              "_pay_lo": F.when(found != "", amount(F.regexp_extract(found, RANGE, 1))),
-              "_pay_hi": F.when(found != "", amount(F.regexp_extract(found, RANGE, 2))),
+              "_pay_lo": F.when(found != "", range_end(found, 1)),
+              "_pay_hi": F.when(found != "", range_end(found, -1)),
           })
           .withColumn("_pay1", range_pay(lo, hi)))
     no1 = F.col("_pay1").isNull()
@@ -94,7 +100,7 @@ def with_salary(df: DataFrame, low: str = "low") -> DataFrame:
           .withColumn("_pay2", flat_pay(amount(F.col("_start")))))
     no2 = no1 & F.col("_pay2").isNull()
     df = (df.withColumn("_pay3", F.when(
-              no2 & has_any(t, ["$", "€", "£"]),
+              no2 & has_any(t, PAY_SYMBOLS),
               flat_pay(amount(F.regexp_extract(t, SINGLE, 1)))))
           .withColumn("_pay_all", F.coalesce("_pay1", "_pay2", "_pay3")))
     lo, hi = F.col("_pay_all.lo"), F.col("_pay_all.hi")

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,13 +12,22 @@ from jobsignals.fixed_values import SKILLS
 from jobsignals.functions.text import has_any
 
 
-def plain_words(dictionary: Mapping[str, Iterable[str]]) -> list[str]:
-    """Spellings made of word characters only, which equal a whole token."""
-    return sorted({s for spellings in dictionary.values() for s in spellings
-                   if re.fullmatch(r"\w+", s)})
+def plain_words(dictionary: Mapping[str, Iterable[str]]) -> dict[str, list[str]]:
+    """Spelling -> skills, for spellings of word characters only."""
+    words: dict[str, list[str]] = {}
+    for skill, spellings in dictionary.items():
+        for s in spellings:
+            if re.fullmatch(r"\w+", s):
+                words.setdefault(s, []).append(skill)
+    return words
 
 
-def known_tokens(low: Column, words: Sequence[str]) -> Column:
+def phrases(spellings: Iterable[str]) -> list[str]:
+    """Spellings with a blank, dot, sign or hyphen in them."""
+    return [s for s in spellings if not re.fullmatch(r"\w+", s)]
+
+
+def known_tokens(low: Column, words: Iterable[str]) -> Column:
     """Those of `words` that occur as a whole word, found in one pass.
 
     A spelling of word characters stands between word boundaries exactly when
@@ -30,22 +37,22 @@ def known_tokens(low: Column, words: Sequence[str]) -> Column:
     return F.array_intersect(F.split(low, r"(?U)\W+"), F.array(*map(F.lit, words)))
 
 
-def mentions(tokens: Column, low: Column, spellings: Sequence[str]) -> Column:
-    words = [s for s in spellings if re.fullmatch(r"\w+", s)]
-    phrases = [s for s in spellings if s not in words]
-    tests = [F.array_contains(tokens, w) for w in words]
-    if phrases:
-        either = "|".join(re.escape(p) for p in phrases)
-        tests.append(has_any(low, phrases) & low.rlike(rf"(?U)\b(?:{either})\b"))
-    return reduce(or_, tests)
+def has_phrase(low: Column, spellings: Sequence[str]) -> Column:
+    """A spelling between word boundaries, tested as a substring first."""
+    either = "|".join(map(re.escape, spellings))
+    return has_any(low, spellings) & low.rlike(rf"(?U)\b(?:{either})\b")
 
 
 def with_skills(df: DataFrame, low: str = "low", name: str = "tech_stack",
                 dictionary: Mapping[str, Sequence[str]] = SKILLS) -> DataFrame:
     """Add the sorted array of skills mentioned; empty when there are none."""
-    tokens, text = F.col("_tokens"), F.col(low)
-    hits = [F.when(mentions(tokens, text, spellings), F.lit(skill))
-            for skill, spellings in sorted(dictionary.items())]
-    return (df.withColumn("_tokens", known_tokens(text, plain_words(dictionary)))
-            .withColumn(name, F.array_compact(F.array(*hits)))
+    words = plain_words(dictionary)
+    skills_of = F.create_map(*[x for word, skills in sorted(words.items())
+                               for x in (F.lit(word), F.array(*map(F.lit, skills)))])
+    by_word = F.flatten(F.transform("_tokens", lambda w: F.element_at(skills_of, w)))
+    by_phrase = F.array_compact(F.array(*[
+        F.when(has_phrase(F.col(low), p), F.lit(skill))
+        for skill, spellings in dictionary.items() if (p := phrases(spellings))]))
+    return (df.withColumn("_tokens", known_tokens(F.col(low), sorted(words)))
+            .withColumn(name, F.sort_array(F.array_distinct(F.concat(by_word, by_phrase))))
             .drop("_tokens"))

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from jobsignals.fixed_values import EXCERPT_CHARS, WHITESPACE
 
-# \s only covers ASCII blanks in Java; this class covers what strip() covers.
-SPACE = "[" + "".join(f"\\u{ord(c):04x}" for c in WHITESPACE) + "]"
+# \s only covers ASCII blanks in Java; this class matches what strip() strips.
+SPACE = (r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def strip(text: Column) -> Column:

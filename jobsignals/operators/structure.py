@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from jobsignals.functions import posts
@@ -18,8 +20,31 @@ def prepared(df: DataFrame, text: str = "raw_text") -> DataFrame:
             .withColumn("low", F.lower("clean")))
 
 
-def structure(df: DataFrame) -> DataFrame:
-    """Narrow transform: no shuffle, no Python on the workers."""
+def evaluate_once(df: DataFrame, rows: Observation | None = None) -> DataFrame:
+    """Keep later filters above `df`'s expressions; count its rows on the way.
+
+    A filter on a derived column would otherwise be rewritten in terms of the
+    raw text and pushed below the projections and even below the text
+    de-duplication, evaluating every extractor again there, many times over. An
+    observed row count is a node that filters do not pass, while unused columns
+    are still pruned through it.
+    """
+    n = F.count(F.lit(1)).alias("n_rows")
+    return df.observe(rows if rows is not None else f"rows-{uuid.uuid4().hex}", n)
+
+
+def salaries(df: DataFrame) -> DataFrame:
+    """id and the pay columns alone, with the tier that produced them."""
+    return evaluate_once(with_salary(prepared(df)).select(
+        "id", "salary_min", "salary_max", "salary_avg", "currency", "pay_tier"))
+
+
+def structure(df: DataFrame, rows: Observation | None = None) -> DataFrame:
+    """Narrow transform: no shuffle, no Python on the workers.
+
+    `rows`, if given, receives the number of structured posts once an action
+    has run, at no extra pass.
+    """
     low, cleaned = F.col("low"), F.col("clean")
     df = (prepared(df)
           .transform(with_salary)
@@ -33,5 +58,6 @@ def structure(df: DataFrame) -> DataFrame:
               **posts.flags(low),
           })
           .withColumns(posts.combos(low, F.col("tech_stack"), F.col("is_crypto"))))
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
-                       for f in STRUCTURED if f.name in df.columns])
+    typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
+                        for f in STRUCTURED if f.name in df.columns])
+    return evaluate_once(typed, rows)
