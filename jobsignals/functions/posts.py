@@ -8,15 +8,14 @@ from pyspark.sql import functions as F
 from jobsignals.fixed_values import (
     AI_MODEL_WORDS, COMPANY_MAX_CHARS, FLAG_GROUPS, REMOTE_WORD, ROLE_FALLBACK, ROLES,
 )
-from jobsignals.functions.text import SPACE, has_any, strip
+from jobsignals.functions.text import SPACE, any_sql, has_any, literal, strip
 
 
-def role(low: Column) -> Column:
+def role(low: str) -> Column:
     """First role class, in priority order, with a keyword in the text."""
-    chain = F
-    for name, words in ROLES.items():
-        chain = chain.when(has_any(low, words), name)
-    return chain.otherwise(ROLE_FALLBACK)
+    cases = " ".join(f"WHEN {any_sql(low, words)} THEN {literal(name)}"
+                     for name, words in ROLES.items())
+    return F.expr(f"CASE {cases} ELSE {literal(ROLE_FALLBACK)} END")
 
 
 def _parts(clean: Column) -> Column:
@@ -34,24 +33,24 @@ def role_title(clean: Column) -> Column:
     return F.when(clean.contains("|"), strip(F.get(_parts(clean), F.lit(1))))
 
 
-def years_experience(low: Column) -> Column:
+def years_experience(low: str) -> Column:
     """First '<n> year(s)' in the text, ASCII digits."""
     found = F.regexp_extract(low, rf"(\d+)\+?{SPACE}*years?", 1)
-    return F.when(low.contains("year"), found.try_cast("bigint"))
+    return F.when(has_any(low, ["year"]), found.try_cast("bigint"))
 
 
-def is_remote(low: Column) -> Column:
-    return low.contains(REMOTE_WORD)
+def is_remote(low: str) -> Column:
+    return has_any(low, [REMOTE_WORD])
 
 
-def flags(low: Column, *groups: str) -> dict[str, Column]:
+def flags(low: str, *groups: str) -> dict[str, Column]:
     """Flag name -> expression, for the named groups or all of them."""
     return {name: has_any(low, words)
             for group in (groups or FLAG_GROUPS)
             for name, words in FLAG_GROUPS[group].items()}
 
 
-def combos(low: Column, tech_stack: Column, is_crypto: Column) -> dict[str, Column]:
+def combos(low: str, tech_stack: Column, is_crypto: Column) -> dict[str, Column]:
     return {
         "tech_combo_ai": F.array_contains(tech_stack, "Python") & has_any(low, AI_MODEL_WORDS),
         "tech_combo_blockchain": F.array_contains(tech_stack, "Rust") & is_crypto,

@@ -31,7 +31,7 @@ def pay_text(low: Column) -> Column:
     return F.replace(low, F.lit(","), F.lit(""))
 
 
-def currency(text: Column) -> Column:
+def currency(text: str) -> Column:
     return (F.when(has_any(text, GBP_MARKS), "GBP")
             .when(has_any(text, EUR_MARKS), "EUR")
             .otherwise("USD"))
@@ -81,7 +81,8 @@ def with_salary(df: DataFrame, low: str = "low") -> DataFrame:
     and reused. Every regex sits behind a substring test, and a later tier is
     only looked at where the earlier ones gave nothing.
     """
-    t = F.col("_pay")
+    pay = "_pay"
+    t = F.col(pay)
     found, lo, hi = F.col("_pay_range"), F.col("_pay_lo"), F.col("_pay_hi")
     # A matched range holds one dash, two amounts and otherwise only symbols and
     # blanks, so its ends are cut out without another regex.
@@ -93,14 +94,14 @@ def with_salary(df: DataFrame, low: str = "low") -> DataFrame:
           })
           .withColumn("_pay1", range_pay(lo, hi)))
     no1 = F.col("_pay1").isNull()
-    df = (df.withColumn("_from", F.when(no1 & has_any(t, ["from", "starting at", "+"]),
+    df = (df.withColumn("_from", F.when(no1 & has_any(pay, ["from", "starting at", "+"]),
                                         F.regexp_extract(t, FROM, 1)))
           .withColumn("_start", F.when(F.col("_from") != "", F.col("_from"))
                       .when(no1 & t.contains("+"), F.regexp_extract(t, PLUS, 1)))
           .withColumn("_pay2", flat_pay(amount(F.col("_start")))))
     no2 = no1 & F.col("_pay2").isNull()
     df = (df.withColumn("_pay3", F.when(
-              no2 & has_any(t, PAY_SYMBOLS),
+              no2 & has_any(pay, PAY_SYMBOLS),
               flat_pay(amount(F.regexp_extract(t, SINGLE, 1)))))
           .withColumn("_pay_all", F.coalesce("_pay1", "_pay2", "_pay3")))
     lo, hi = F.col("_pay_all.lo"), F.col("_pay_all.hi")
@@ -108,7 +109,7 @@ def with_salary(df: DataFrame, low: str = "low") -> DataFrame:
         "salary_min": lo,
         "salary_max": hi,
         "salary_avg": average(lo, hi),
-        "currency": F.when(lo.isNotNull(), currency(t)),
+        "currency": F.when(lo.isNotNull(), currency(pay)),
         "pay_tier": (F.when(~no1, "range").when(F.col("_pay2").isNotNull(), "starting_at")
                      .when(F.col("_pay3").isNotNull(), "single").otherwise("none")),
     }).drop("_pay", "_pay_range", "_pay_lo", "_pay_hi", "_pay1", "_from", "_start",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobsignals.fixed_values import SKILLS
-from jobsignals.functions.text import has_any
+from jobsignals.functions.text import has_word, literal, literals
 
 
 def plain_words(dictionary: Mapping[str, Iterable[str]]) -> dict[str, list[str]]:
@@ -34,24 +34,18 @@ def known_tokens(low: Column, words: Iterable[str]) -> Column:
     it is a maximal run of them, so one split and one hash intersection replace
     a regex search per spelling.
     """
-    return F.array_intersect(F.split(low, r"(?U)\W+"), F.array(*map(F.lit, words)))
-
-
-def has_phrase(low: Column, spellings: Sequence[str]) -> Column:
-    """A spelling between word boundaries, tested as a substring first."""
-    either = "|".join(map(re.escape, spellings))
-    return has_any(low, spellings) & low.rlike(rf"(?U)\b(?:{either})\b")
+    return F.array_intersect(F.split(low, r"(?U)\W+"), F.expr(f"array({literals(words)})"))
 
 
 def with_skills(df: DataFrame, low: str = "low", name: str = "tech_stack",
                 dictionary: Mapping[str, Sequence[str]] = SKILLS) -> DataFrame:
     """Add the sorted array of skills mentioned; empty when there are none."""
     words = plain_words(dictionary)
-    skills_of = F.create_map(*[x for word, skills in sorted(words.items())
-                               for x in (F.lit(word), F.array(*map(F.lit, skills)))])
+    skills_of = F.expr("map(" + ", ".join(
+        f"{literal(word)}, array({literals(skills)})" for word, skills in words.items()) + ")")
     by_word = F.flatten(F.transform("_tokens", lambda w: F.element_at(skills_of, w)))
     by_phrase = F.array_compact(F.array(*[
-        F.when(has_phrase(F.col(low), p), F.lit(skill))
+        F.when(has_word(low, *p), skill)
         for skill, spellings in dictionary.items() if (p := phrases(spellings))]))
     return (df.withColumn("_tokens", known_tokens(F.col(low), sorted(words)))
             .withColumn(name, F.sort_array(F.array_distinct(F.concat(by_word, by_phrase))))

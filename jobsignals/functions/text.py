@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,18 +27,36 @@ def excerpt(text: Column, chars: int = EXCERPT_CHARS) -> Column:
     return F.substring(text, 1, chars)
 
 
-def has_any(low: Column, words: Iterable[str]) -> Column:
-    """True when any of `words` occurs anywhere in the lower-cased text."""
-    return reduce(or_, [low.contains(w) for w in words])
+def literal(text: str) -> str:
+    """`text` as a SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def has_word(low: Column, word: str) -> Column:
-    """True when `word` occurs between word boundaries.
+def literals(words: Iterable[str]) -> str:
+    return ", ".join(map(literal, words))
+
+
+def any_sql(low: str, words: Iterable[str]) -> str:
+    return "(" + " OR ".join(f"contains({low}, {literal(w)})" for w in words) + ")"
+
+
+def has_any(low: str, words: Iterable[str]) -> Column:
+    """True when any of `words` occurs anywhere in the lower-cased column.
+
+    Word lists are spelled as one SQL expression: parsing it once is far
+    cheaper for the driver than a call per word.
+    """
+    return F.expr(any_sql(low, words))
+
+
+def has_word(low: str, *words: str) -> Column:
+    """True when one of `words` occurs between word boundaries.
 
     The plain substring test goes first: it is a byte scan that rejects most
     rows before the regex engine is entered.
     """
-    return low.contains(word) & low.rlike(rf"(?U)\b{re.escape(word)}\b")
+    either = "|".join(map(re.escape, words))
+    return has_any(low, words) & F.col(low).rlike(rf"(?U)\b(?:{either})\b")
 
 
 def month_key(date: Column) -> Column:

@@ -45,7 +45,7 @@ def structure(df: DataFrame, rows: Observation | None = None) -> DataFrame:
     `rows`, if given, receives the number of structured posts once an action
     has run, at no extra pass.
     """
-    low, cleaned = F.col("low"), F.col("clean")
+    low, cleaned = "low", F.col("clean")
     df = (prepared(df)
           .transform(with_salary)
           .transform(with_skills)

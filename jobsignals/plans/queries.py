@@ -153,9 +153,8 @@ _flag_query("combo_flags", *COMBO_FLAGS["Interactions"])
 def document_signals(spark, sf_dir):
     """Signals per document: the substring and role rules on long free text."""
     docs = prepared(table(spark, sf_dir, "documents"), "text")
-    low = F.col("low")
-    return docs.select("doc_id", posts.role(low).alias("job_category"),
-                       *[e.alias(n) for n, e in posts.flags(low).items()])
+    return docs.select("doc_id", posts.role("low").alias("job_category"),
+                       *[e.alias(n) for n, e in posts.flags("low").items()])
 
 
 # --- cleaning and statistics -------------------------------------------------
@@ -353,8 +352,7 @@ def batch_ingest(spark, sf_dir):
 
 @query
 def paybanding_flags(spark, sf_dir):
-    return kept(spark, sf_dir).select(
-        "id", *[e.alias(n) for n, e in features.pay_band_flags(F.col("raw_text")).items()])
+    return features.pay_band_flags(kept(spark, sf_dir)).drop("date", "raw_text")
 
 
 @query
