@@ -44,9 +44,11 @@ def with_skills(df: DataFrame, low: str = "low", name: str = "tech_stack",
     skills_of = F.expr("map(" + ", ".join(
         f"{literal(word)}, array({literals(skills)})" for word, skills in words.items()) + ")")
     by_word = F.flatten(F.transform("_tokens", lambda w: F.element_at(skills_of, w)))
-    by_phrase = F.array_compact(F.array(*[
-        F.when(has_word(low, *p), skill)
-        for skill, spellings in dictionary.items() if (p := phrases(spellings))]))
+    by_phrase = F.array(*[F.when(has_word(low, *p), skill).otherwise("")
+                          for skill, spellings in dictionary.items()
+                          if (p := phrases(spellings))])
+    # array_except drops misses and repeats in compiled code; a filter with a
+    # lambda would have all its inputs interpreted.
+    found = F.array_except(F.concat(by_word, by_phrase), F.expr("array('')"))
     return (df.withColumn("_tokens", known_tokens(F.col(low), sorted(words)))
-            .withColumn(name, F.sort_array(F.array_distinct(F.concat(by_word, by_phrase))))
-            .drop("_tokens"))
+            .withColumn(name, F.sort_array(found)).drop("_tokens"))

@@ -1,0 +1,54 @@
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    from jobsignals.session import SETTINGS
+
+    builder = SparkSession.builder.master("local[8]").appName("jobsignals-tests")
+    for key, value in {
+        **SETTINGS,
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.shuffle.partitions": "4",
+        "spark.driver.memory": "6g",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
+    }.items():
+        builder = builder.config(key, value)
+    session = builder.getOrCreate()
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return SF_DIR
+
+
+@pytest.fixture
+def texts(spark):
+    """Frame of (id, raw_text) from a list of texts."""
+    def make(*values, **columns):
+        rows = [(str(i), v) for i, v in enumerate(values)]
+        return spark.createDataFrame(rows, "id string, raw_text string")
+    return make
+
+
+@pytest.fixture(scope="session")
+def structured(spark, sf_dir):
+    from jobsignals.plans import derived
+    from jobsignals.plans.market import transform
+
+    df = transform(derived.postings(spark, sf_dir)).cache()
+    df.count()
+    return df

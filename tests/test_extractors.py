@@ -1,0 +1,162 @@
+"""Case tables for every text extractor."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from jobsignals.fixed_values import FLAG_GROUPS, SKILLS, WHITESPACE
+from jobsignals.functions import posts, text
+from jobsignals.operators.features import pay_band_flags
+from jobsignals.operators.structure import prepared, salaries, structure
+
+USD = "USD"
+
+
+def one_column(df, column):
+    return [r["x"] for r in df.withColumn("x", column).orderBy(F.col("id").cast("int")).collect()]
+
+
+def test_blank_class_is_what_strip_strips(texts):
+    every = [f"a{c}b" for c in WHITESPACE] + ["a_b", "a​b", "a-b", "a﻿b"]
+    got = one_column(texts(*every), F.col("raw_text").rlike(f"^a{text.SPACE}b$"))
+    assert got == [True] * len(WHITESPACE) + [False] * 4
+
+
+def test_clean_matches_python_strip(texts):
+    values = [f"{c}x y{c}{c}" for c in WHITESPACE] + ["", "\n\t", "plain", "​kept​"]
+    assert one_column(texts(*values), text.clean(F.col("raw_text"))) == [v.strip() for v in values]
+    assert one_column(texts(None), text.clean(F.col("raw_text"))) == [""]
+
+
+SALARY_CASES = [
+    # text, min, max, avg, currency, tier
+    ("$100k - $140k", 100000, 140000, 120000, USD, "range"),
+    ("100-140k", 100000, 140000, 120000, USD, "range"),
+    ("$100,000 - $140,000", 100000, 140, 50070, USD, "range"),
+    ("£55,000 - £75,000", 55000, 750, 27875, "GBP", "range"),
+    ("100k-140", 100000, 140, 50070, USD, "range"),
+    ("$40-60/hr", 80000, 120000, 100000, USD, "range"),
+    ("2020-2025", 40000, 404000, 222000, USD, "range"),
+    ("2025-01-15", 50000, 2000, 26000, USD, "range"),
+    ("00-10 $90k", 90000, 90000, 90000, USD, "single"),
+    ("10-00 from $95k", 95000, 95000, 95000, USD, "starting_at"),
+    ("from $95k", 95000, 95000, 95000, USD, "starting_at"),
+    ("from $95k", 95000, 95000, 95000, USD, "starting_at"),
+    ("starting at 120000", 120000, 120000, 120000, USD, "starting_at"),
+    ("$80k+", 80000, 80000, 80000, USD, "starting_at"),
+    ("€70k+", 70000, 70000, 70000, "EUR", "starting_at"),
+    ("from 00000 and $150k", 150000, 150000, 150000, USD, "single"),
+    ("from 00000 or 80k+", None, None, None, None, "none"),
+    ("$80k+ from $95k", 95000, 95000, 95000, USD, "starting_at"),
+    ("from 00150", 300000, 300000, 300000, USD, "starting_at"),
+    ("from 00500", 500, 500, 500, USD, "starting_at"),
+    ("$150k", 150000, 150000, 150000, USD, "single"),
+    ("$900,000", 900000, 900000, 900000, USD, "single"),
+    ("150k", None, None, None, None, "none"),
+    ("$6k - $8k", None, None, None, None, "none"),
+    ("$150k in Europe", 150000, 150000, 150000, "EUR", "single"),
+    ("£100k or EUR", 100000, 100000, 100000, "GBP", "single"),
+    ("90k gbp-less $90K", 90000, 90000, 90000, "GBP", "single"),
+    ("", None, None, None, None, "none"),
+    (None, None, None, None, None, "none"),
+]
+
+
+def test_salary_cases(texts):
+    got = salaries(texts(*[c[0] for c in SALARY_CASES])).orderBy(F.col("id").cast("int")).collect()
+    for case, row in zip(SALARY_CASES, got):
+        assert tuple(row)[1:] == case[1:], case[0]
+
+
+def test_ends_of_equal_range_without_average(texts):
+    # min + max = 1 cannot occur; the midpoint is floored.
+    row = salaries(texts("$45-60k")).first()
+    assert (row.salary_min, row.salary_max, row.salary_avg) == (45000, 60000, 52500)
+
+
+def skills_of(texts, *values):
+    df = structure(texts(*values))
+    return [r["tech_stack"] for r in df.orderBy(F.col("id").cast("int")).collect()]
+
+
+def test_every_spelling_is_found_where_word_boundaries_allow(texts):
+    pairs = [(skill, s) for skill, spellings in SKILLS.items() for s in spellings]
+    got = skills_of(texts, *[f"we use {s} daily" for _, s in pairs])
+    for (skill, spelling), found in zip(pairs, got):
+        # Signs at the edge of a spelling leave no boundary next to a blank.
+        expected = bool(re.search(rf"\b{re.escape(spelling)}\b", f"we use {spelling} daily"))
+        assert (skill in found) == expected, spelling
+
+
+def test_skill_boundaries(texts):
+    got = skills_of(texts, "Python, AWS", "c++x and asp.net", "c++, c# dev .net", "React Native",
+                    "égo", "go_lang", "TypeScript", "Pytorch/ML", "", None, "machine  learning")
+    assert got == [["AWS", "Python"], ["C#", "C++"], [], ["React", "React Native"], [], [],
+                   ["JavaScript"], ["Machine Learning"], [], [], []]
+
+
+def test_custom_dictionary(texts):
+    from jobsignals.functions.skills import with_skills
+    dictionary = {"B": ["beta", "beta max"], "A": ["alpha", "beta"]}
+    df = with_skills(prepared(texts("beta", "alpha", "beta max", "none")), dictionary=dictionary)
+    got = [r.tech_stack for r in df.orderBy("id").collect()]
+    assert got == [["A", "B"], ["A"], ["A", "B"], []]
+
+
+@pytest.mark.parametrize("value, expected", [
+    ("Machine Learning and Kubernetes", "Data/AI"), ("email us", "Data/AI"),
+    ("Kubernetes on iOS", "DevOps"), ("Swift and React", "Mobile"), ("React and Java", "Frontend"),
+    ("Java dev", "Backend"), ("full-stack dev", "Fullstack"), ("nothing here", "General"),
+    ("", "General"), (None, "General"),
+])
+def test_role(texts, value, expected):
+    assert one_column(prepared(texts(value)), posts.role("low")) == [expected]
+
+
+def test_company_and_title(texts):
+    df = prepared(texts("  Acme | Engineer | NYC", "no pipe", " | Title", "x" * 50 + "|t",
+                        "x" * 49 + "|  t  ", "a|", None))
+    assert one_column(df, posts.company(F.col("clean"))) == [
+        "Acme", None, "", None, "x" * 49, "a", None]
+    assert one_column(df, posts.role_title(F.col("clean"))) == [
+        "Engineer", None, "Title", "t", "t", "", None]
+
+
+def test_years(texts):
+    df = prepared(texts("10 years old company, 3+ years", "3+ years", "5+year", "1 year",
+                        "years", "99999999999999999999 years", None))
+    assert one_column(df, posts.years_experience("low")) == [10, 3, 5, 1, None, None, None]
+
+
+def test_flags_are_substring_tests(texts):
+    for names in FLAG_GROUPS.values():
+        for name, words in names.items():
+            df = prepared(texts(*[f"xx{w.upper()}yy" for w in words], "zzz"))
+            got = one_column(df, posts.flags("low")[name])
+            assert got == [True] * len(words) + [False], name
+    df = prepared(texts("Director", "International", "recycle", "satisfaction", "London"))
+    flags = posts.flags("low")
+    assert one_column(df, flags["is_manager"]) == [True, False, False, False, False]
+    assert one_column(df, flags["is_junior"]) == [False, True, False, False, False]
+    assert one_column(df, flags["is_yc"]) == [False, False, True, False, False]
+    assert one_column(df, flags["is_tier_1_city"]) == [False, False, False, True, True]
+    assert one_column(df, flags["is_europe"]) == [False, False, False, False, True]
+
+
+def test_combos(texts):
+    df = structure(texts("python with llm", "python only", "rust and web3", "rust only", "llm web3"))
+    got = [(r.tech_combo_ai, r.tech_combo_blockchain) for r in df.orderBy("id").collect()]
+    assert got == [(True, False), (False, False), (False, True), (False, False), (False, False)]
+
+
+def test_pay_band_words_need_boundaries(texts):
+    rows = pay_band_flags(texts("Team Lead", "leading", "VP, Head of", None)).orderBy("id").collect()
+    assert [(r.is_lead, r.is_vp, r.is_head) for r in rows] == [
+        (1, 0, 0), (0, 0, 0), (0, 1, 1), (0, 0, 0)]
+
+
+def test_month_key_and_excerpt(spark):
+    row = spark.sql("SELECT date'2023-04-09' AS d, repeat('é', 300) AS t").select(
+        text.month_key(F.col("d")).alias("m"), text.excerpt(F.col("t")).alias("e")).first()
+    assert row.m == "2023-04" and row.e == "é" * 200
