@@ -11,8 +11,6 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Pages are large: keep the Arrow batches of the page jobs small.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
 }
 
 

@@ -52,6 +52,9 @@ class ForumPage(HTMLParser):
         page._end_text()
         return page.rows
 
+    def updatepos(self, i, j):
+        return j    # line numbers are not needed, and counting them is slow
+
     def handle_data(self, data):
         if self._captures and not (self._stack and self._stack[-1][0] in HIDDEN):
             self._data.append(data)
