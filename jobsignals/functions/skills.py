@@ -40,15 +40,17 @@ def known_tokens(low: Column, words: Iterable[str]) -> Column:
 def with_skills(df: DataFrame, low: str = "low", name: str = "tech_stack",
                 dictionary: Mapping[str, Sequence[str]] = SKILLS) -> DataFrame:
     """Add the sorted array of skills mentioned; empty when there are none."""
-    words = plain_words(dictionary)
-    skills_of = F.expr("map(" + ", ".join(
-        f"{literal(word)}, array({literals(skills)})" for word, skills in words.items()) + ")")
-    by_word = F.flatten(F.transform("_tokens", lambda w: F.element_at(skills_of, w)))
-    by_phrase = F.array(*[F.when(has_word(low, *p), skill).otherwise("")
-                          for skill, spellings in dictionary.items()
-                          if (p := phrases(spellings))])
+    words, parts = plain_words(dictionary), []
+    if words:
+        skills_of = F.expr("map(" + ", ".join(
+            f"{literal(word)}, array({literals(skills)})" for word, skills in words.items()) + ")")
+        df = df.withColumn("_tokens", known_tokens(F.col(low), sorted(words)))
+        parts.append(F.flatten(F.transform("_tokens", lambda w: F.element_at(skills_of, w))))
+    by_phrase = [F.when(has_word(low, *p), skill).otherwise("")
+                 for skill, spellings in dictionary.items() if (p := phrases(spellings))]
+    if by_phrase:
+        parts.append(F.array(*by_phrase))
     # array_except drops misses and repeats in compiled code; a filter with a
     # lambda would have all its inputs interpreted.
-    found = F.array_except(F.concat(by_word, by_phrase), F.expr("array('')"))
-    return (df.withColumn("_tokens", known_tokens(F.col(low), sorted(words)))
-            .withColumn(name, F.sort_array(found)).drop("_tokens"))
+    found = F.array_except(F.concat(*parts), F.expr("array('')"))
+    return df.withColumn(name, F.sort_array(found)).drop("_tokens")

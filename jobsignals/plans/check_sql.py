@@ -332,7 +332,8 @@ CHECKS = {
         SELECT page_key, page_no, page_no % 3 <> 2 AS has_more,
           CASE WHEN page_no % 3 <> 2 THEN 'item?id=' || page_key || '&p=' || (page_no + 2) END
             AS next_href FROM page"""),
-    "foreign_page_comments": "SELECT 0::BIGINT AS n",
+    "foreign_page_comments": """SELECT count(*) AS n FROM pages
+        WHERE regexp_matches(html, '<tr [^>]*class="[^"]*athing comtr')""",
     "incremental_ingest": _with(COMMENTS, _COMMENT.replace("SELECT", "SELECT DISTINCT", 1)),
     "batch_ingest": _with(COMMENTS, _COMMENT.replace("SELECT", "SELECT DISTINCT", 1) + """
         WHERE thread_date >= '1996-01-01'"""),

@@ -12,13 +12,15 @@ from jobsignals.operators.dedupe import dedupe_ids
 from jobsignals.schemas import COMMENTS, STRUCTURED
 
 
-def _replace_partitions(df: DataFrame, path: str, by: str) -> None:
+def _replace_partitions(df: DataFrame, path: str, by: str, *order: str) -> None:
     """Overwrite only the partitions present in `df`; an empty frame is a no-op.
 
     Rebalancing gives one file per small partition value and lets the adaptive
-    planner cut a value that holds much of the data into several tasks.
+    planner cut a value that holds much of the data into several tasks. Rows are
+    sorted by `order` inside files only.
     """
-    (df.hint("rebalance", by).write.partitionBy(by).mode("overwrite")
+    (df.hint("rebalance", by).sortWithinPartitions(by, *order)
+     .write.partitionBy(by).mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").parquet(path))
 
 
@@ -45,15 +47,22 @@ def read_comments(spark: SparkSession, path: str) -> DataFrame:
 def write_raw(posts: DataFrame, path: str, range_path: str | None = None) -> None:
     """Merged raw posts, one folder per month, sorted by date inside files.
 
-    The first and last date go to `range_path`, so no reader depends on a file
-    name that encodes them.
+    Months present in `posts` are replaced; no posts, no change. The first and
+    last date of the table go to `range_path`, so no reader depends on a file
+    name that encodes them. They are read back from the one stored column.
     """
-    day = F.to_date("thread_date")
-    (posts.withColumns({"id": F.col("id").cast("string"), "month": month_key(day)})
-     .hint("rebalance", "month").sortWithinPartitions("month", "thread_date")
-     .write.partitionBy("month").mode("overwrite").parquet(path))
+    typed = posts.withColumns({"id": F.col("id").cast("string"),
+                               "month": month_key(F.to_date("thread_date"))})
+    _replace_partitions(typed, path, "month", "thread_date")
     if range_path:
-        date_range(posts).write.mode("overwrite").json(range_path)
+        stored = posts.sparkSession.read.schema("thread_date string, month string").parquet(path)
+        date_range(stored).write.mode("overwrite").json(range_path)
+
+
+def merge_comments(spark: SparkSession, store: str, path: str,
+                   range_path: str | None = None) -> None:
+    """All stored threads or batches, first row per id, as the merged raw table."""
+    write_raw(read_comments(spark, store), path, range_path)
 
 
 def date_range(posts: DataFrame, date: str = "thread_date") -> DataFrame:

@@ -102,6 +102,10 @@ def test_custom_dictionary(texts):
     df = with_skills(prepared(texts("beta", "alpha", "beta max", "none")), dictionary=dictionary)
     got = [r.tech_stack for r in df.orderBy("id").collect()]
     assert got == [["A", "B"], ["A"], ["A", "B"], []]
+    for one_kind, want in [({"P": ["beta max"]}, [[], [], ["P"], []]),
+                           ({"W": ["alpha"]}, [[], ["W"], [], []])]:
+        df = with_skills(prepared(texts("beta", "alpha", "beta max", "none")), dictionary=one_kind)
+        assert [r.tech_stack for r in df.orderBy("id").collect()] == want
 
 
 @pytest.mark.parametrize("value, expected", [

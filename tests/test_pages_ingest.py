@@ -172,6 +172,28 @@ def test_raw_table(spark, sf_dir, tmp_path):
     assert stored.drop("month").exceptAll(posts).isEmpty() and stored.count() == posts.count()
     assert spark.read.json(str(tmp_path / "range")).first() == tables.date_range(posts).select(
         "first_date", "last_date").first()
+    # No posts, no change; one month, that month is replaced.
+    tables.write_raw(posts.limit(0), str(tmp_path / "raw"))
+    assert tables.read_raw(spark, str(tmp_path / "raw")).count() == posts.count()
+    month = posts.filter("thread_date = '1996-03-01'")
+    tables.write_raw(month.limit(1), str(tmp_path / "raw"))
+    assert tables.read_raw(spark, str(tmp_path / "raw")).count() == (
+        posts.count() - month.count() + 1)
+
+
+def test_merge_keeps_the_first_row_per_id(spark, tmp_path):
+    rows = [("1", "2023-02-01", "b", "u", ""), ("1", "2023-01-01", "c", "u", ""),
+            ("1", "2023-01-01", "a", "u", ""), ("2", "2023-02-01", "x", "u", "")]
+    schema = "id string, thread_date string, raw_text string, user string, url string"
+    for n, row in enumerate(rows):
+        one = spark.createDataFrame([row], schema)
+        tables.write_thread_comments(one.withColumn("thread_id", F.lit(f"t{n}")),
+                                     str(tmp_path / "store"))
+    (tmp_path / "store" / "thread_id=bad").mkdir()
+    (tmp_path / "store" / "thread_id=bad" / "x.parquet").write_bytes(b"not parquet")
+    tables.merge_comments(spark, str(tmp_path / "store"), str(tmp_path / "raw"))
+    merged = tables.read_raw(spark, str(tmp_path / "raw")).select("id", "raw_text")
+    assert sorted(map(tuple, merged.collect())) == [("1", "a"), ("2", "x")]
 
 
 # --- ingest ------------------------------------------------------------------
