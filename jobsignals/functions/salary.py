@@ -11,14 +11,13 @@ gives 100000 and 140, and "2020-2025" reads as pay.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from jobsignals.fixed_values import (
-    EUR_MARKS, GBP_MARKS, HOURLY_BELOW, HOURS_PER_YEAR, PAY_AMOUNT,
-    PAY_RANGE_AMOUNT, PAY_SYMBOL, PAY_SYMBOLS, THOUSANDS_BELOW, WHITESPACE,
+    EUR_MARKS, GBP_MARKS, HOURLY_BELOW, HOURS_PER_YEAR, PAY_AMOUNT, PAY_RANGE_AMOUNT,
+    PAY_SYMBOL, PAY_SYMBOLS, THOUSANDS_BELOW, WHITESPACE,
 )
-from jobsignals.functions.text import SPACE, has_any
+from jobsignals.functions.text import SPACE, any_sql, literal
 
 # A symbol before the first amount is optional and not captured, so searching
 # without it finds the same amounts and spares a test at every position.
@@ -28,56 +27,33 @@ PLUS = rf"({PAY_AMOUNT})\+"
 SINGLE = rf"{PAY_SYMBOL}({PAY_AMOUNT})"
 
 
-def pay_text(low: Column) -> Column:
-    """Lower-cased text without thousands commas."""
-    return F.replace(low, F.lit(","), F.lit(""))
+def currency(text: str) -> str:
+    return (f"CASE WHEN {any_sql(text, GBP_MARKS)} THEN 'GBP'"
+            f" WHEN {any_sql(text, EUR_MARKS)} THEN 'EUR' ELSE 'USD' END")
 
 
-def currency(text: str) -> Column:
-    return (F.when(has_any(text, GBP_MARKS), "GBP")
-            .when(has_any(text, EUR_MARKS), "EUR")
-            .otherwise("USD"))
-
-
-def amount(token: Column) -> Column:
+def amount(token: str) -> str:
     """'140k' -> 140000; an empty token -> 0, which every tier passes over.
 
     The leading zero keeps the cast from ever failing: a failed one, even a
     tolerant one, builds and drops an exception per row.
     """
-    return F.concat(F.lit("0"), F.replace(token, F.lit("k"), F.lit("000"))).cast("bigint")
+    return f"CAST(concat('0', replace({token}, 'k', '000')) AS BIGINT)"
 
 
-def range_end(found: Column, side: int) -> Column:
+def range_end(found: str, side: int) -> str:
     """Amount before (1) or after (-1) the dash of a matched range."""
-    token = F.substring_index(found, "-", side)
-    return amount(F.translate(token, PAY_SYMBOLS + WHITESPACE, ""))
-
-
-def yearly(value: Column) -> Column:
-    return F.when(value < HOURLY_BELOW, value * HOURS_PER_YEAR).otherwise(value)
-
-
-def range_pay(lo: Column, hi: Column) -> Column:
-    """Tier 1 as struct(lo, hi); null when either side is missing or zero."""
-    lo = F.when((lo < THOUSANDS_BELOW) & (hi > THOUSANDS_BELOW),
-                lo * THOUSANDS_BELOW).otherwise(lo)
-    # One hourly test for both ends: it looks at the lower one only.
-    factor = F.when(lo < HOURLY_BELOW, HOURS_PER_YEAR).otherwise(1)
-    return F.when((lo != 0) & (hi != 0),
-                  F.struct((lo * factor).alias("lo"), (hi * factor).alias("hi")))
+    token = f"substring_index({found}, '-', {side})"
+    return amount(f"translate({token}, {literal(PAY_SYMBOLS + WHITESPACE)}, '')")
 
 
-def flat_pay(value: Column) -> Column:
-    """Tiers 2 and 3: one amount that is both ends of the range."""
-    value = yearly(value)
-    return F.when(value != 0, F.struct(value.alias("lo"), value.alias("hi")))
+def yearly(value: str, looked_at: str) -> str:
+    """`value`, times the hours of a year when `looked_at` is an hourly rate."""
+    return f"{value} * IF({looked_at} < {HOURLY_BELOW}, {HOURS_PER_YEAR}, 1)"
 
 
-def average(lo: Column, hi: Column) -> Column:
-    """Whole-number midpoint; a midpoint of 0 counts as no salary."""
-    mid = F.floor((lo + hi) / 2)
-    return F.when(mid != 0, mid)
+def first_amount(text: str, pattern: str) -> str:
+    return f"regexp_extract({text}, {literal(pattern)}, 1)"
 
 
 def with_salary(df: DataFrame, low: str = "low") -> DataFrame:
@@ -87,36 +63,38 @@ def with_salary(df: DataFrame, low: str = "low") -> DataFrame:
     and reused. Every regex sits behind a substring test, and a later tier is
     only looked at where the earlier ones gave nothing.
     """
-    pay = "_pay"
-    t = F.col(pay)
-    found, lo, hi = F.col("_pay_range"), F.col("_pay_lo"), F.col("_pay_hi")
-    # A matched range holds one dash, two amounts and otherwise only symbols and
-    # blanks, so its ends are cut out without another regex.
-    df = (df.withColumn("_pay", pay_text(F.col(low)))
-          .withColumn("_pay_range", F.when(t.contains("-"), F.regexp_extract(t, RANGE, 0)))
-          .withColumns({
-              "_pay_lo": F.when(found != "", range_end(found, 1)),
-              "_pay_hi": F.when(found != "", range_end(found, -1)),
-          })
-          .withColumn("_pay1", range_pay(lo, hi)))
-    no1 = F.col("_pay1").isNull()
-    df = (df.withColumn("_from", F.when(no1 & has_any(pay, ["from", "starting at", "+"]),
-                                        F.regexp_extract(t, FROM, 1)))
-          .withColumn("_start", F.when(F.col("_from") != "", F.col("_from"))
-                      .when(no1 & t.contains("+"), F.regexp_extract(t, PLUS, 1)))
-          .withColumn("_pay2", flat_pay(amount(F.col("_start")))))
-    no2 = no1 & F.col("_pay2").isNull()
-    df = (df.withColumn("_pay3", F.when(
-              no2 & has_any(pay, PAY_SYMBOLS),
-              flat_pay(amount(F.regexp_extract(t, SINGLE, 1)))))
-          .withColumn("_pay_all", F.coalesce("_pay1", "_pay2", "_pay3")))
-    lo, hi = F.col("_pay_all.lo"), F.col("_pay_all.hi")
-    return df.withColumns({
-        "salary_min": lo,
-        "salary_max": hi,
-        "salary_avg": average(lo, hi),
-        "currency": F.when(lo.isNotNull(), currency(pay)),
-        "pay_tier": (F.when(~no1, "range").when(F.col("_pay2").isNotNull(), "starting_at")
-                     .when(F.col("_pay3").isNotNull(), "single").otherwise("none")),
-    }).drop("_pay", "_pay_range", "_pay_lo", "_pay_hi", "_pay1", "_from", "_start",
-            "_pay2", "_pay3", "_pay_all")
+    kept = df.columns
+    steps = [
+        {"_t": f"replace({low}, ',', '')"},
+        # A matched range holds one dash, two amounts and otherwise only symbols
+        # and blanks, so its ends are cut out without another regex.
+        {"_range": f"IF(contains(_t, '-'), regexp_extract(_t, {literal(RANGE)}, 0), '')"},
+        {"_lo": range_end("_range", 1), "_hi": range_end("_range", -1)},
+        # "100-140k": the first amount is meant in thousands too.
+        {"_lo": f"IF(_lo < {THOUSANDS_BELOW} AND _hi > {THOUSANDS_BELOW},"
+                f" _lo * {THOUSANDS_BELOW}, _lo)",
+         "_is_range": "_lo <> 0 AND _hi <> 0"},
+        {"_from": f"IF(NOT _is_range AND {any_sql('_t', ['from', 'starting at', '+'])},"
+                  f" {first_amount('_t', FROM)}, '')"},
+        {"_start": amount(f"CASE WHEN _from <> '' THEN _from WHEN NOT _is_range AND"
+                          f" contains(_t, '+') THEN {first_amount('_t', PLUS)} ELSE '' END")},
+        {"_one": amount(f"IF(NOT _is_range AND _start = 0 AND {any_sql('_t', PAY_SYMBOLS)},"
+                        f" {first_amount('_t', SINGLE)}, '')")},
+        {"pay_tier": "CASE WHEN _is_range THEN 'range' WHEN _start <> 0 THEN 'starting_at'"
+                     " WHEN _one <> 0 THEN 'single' ELSE 'none' END",
+         # At most one of the two is non-zero.
+         "_flat": "_start + _one"},
+        # The hourly test looks at the lower end of a range only.
+        {"salary_min": f"CASE WHEN _is_range THEN {yearly('_lo', '_lo')}"
+                       f" WHEN _flat <> 0 THEN {yearly('_flat', '_flat')} END",
+         "salary_max": f"CASE WHEN _is_range THEN {yearly('_hi', '_lo')}"
+                       f" WHEN _flat <> 0 THEN {yearly('_flat', '_flat')} END",
+         "currency": f"IF(pay_tier <> 'none', {currency('_t')}, NULL)"},
+        # Whole-number midpoint; a midpoint of 0 would count as no salary.
+        {"salary_avg": "nullif((salary_min + salary_max) DIV 2, 0)"},
+    ]
+    for step in steps:
+        others = [c for c in df.columns if c not in step]
+        df = df.selectExpr(*[f"`{c}`" for c in others],
+                           *[f"{sql} AS {name}" for name, sql in step.items()])
+    return df.select(*kept, "salary_min", "salary_max", "salary_avg", "currency", "pay_tier")

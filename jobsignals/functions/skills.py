@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobsignals.fixed_values import SKILLS
-from jobsignals.functions.text import has_word, literal, literals
+from jobsignals.functions.text import literal, literals, word_sql
 
 
 def plain_words(dictionary: Mapping[str, Iterable[str]]) -> dict[str, list[str]]:
@@ -46,10 +46,10 @@ def with_skills(df: DataFrame, low: str = "low", name: str = "tech_stack",
             f"{literal(word)}, array({literals(skills)})" for word, skills in words.items()) + ")")
         df = df.withColumn("_tokens", known_tokens(F.col(low), sorted(words)))
         parts.append(F.flatten(F.transform("_tokens", lambda w: F.element_at(skills_of, w))))
-    by_phrase = [F.when(has_word(low, *p), skill).otherwise("")
+    by_phrase = [f"CASE WHEN {word_sql(low, p)} THEN {literal(skill)} ELSE '' END"
                  for skill, spellings in dictionary.items() if (p := phrases(spellings))]
     if by_phrase:
-        parts.append(F.array(*by_phrase))
+        parts.append(F.expr(f"array({', '.join(by_phrase)})"))
     # array_except drops misses and repeats in compiled code; a filter with a
     # lambda would have all its inputs interpreted.
     found = F.array_except(F.concat(*parts), F.expr("array('')"))

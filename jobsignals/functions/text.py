@@ -49,14 +49,15 @@ def has_any(low: str, words: Iterable[str]) -> Column:
     return F.expr(any_sql(low, words))
 
 
-def has_word(low: str, *words: str) -> Column:
+def word_sql(low: str, words: Iterable[str]) -> str:
     """True when one of `words` occurs between word boundaries.
 
     The plain substring test goes first: it is a byte scan that rejects most
     rows before the regex engine is entered.
     """
     either = "|".join(map(re.escape, words))
-    return has_any(low, words) & F.col(low).rlike(rf"(?U)\b(?:{either})\b")
+    pattern = literal(rf"(?U)\b(?:{either})\b")
+    return f"({any_sql(low, words)} AND {low} RLIKE {pattern})"
 
 
 def month_key(date: Column) -> Column:

@@ -58,6 +58,5 @@ def structure(df: DataFrame, rows: Observation | None = None) -> DataFrame:
               **posts.flags(low),
           })
           .withColumns(posts.combos(low, F.col("tech_stack"), F.col("is_crypto"))))
-    typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
-                        for f in STRUCTURED if f.name in df.columns])
-    return evaluate_once(typed, rows)
+    present = set(df.columns)
+    return evaluate_once(df.select(*[n for n in STRUCTURED.names if n in present]), rows)

@@ -184,4 +184,3 @@ def test_regression_metrics(spark):
 def test_market_reports_run(structured):
     reports = market_reports(structured)
     assert all(not df.isEmpty() for df in reports.values())
-    reports["cleaned"].unpersist()
