@@ -1,0 +1,57 @@
+"""The one-regex way through a page must agree with the tokenizer's."""
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from jobsignals.sources.forum_html import ForumPage
+
+
+def summary(rows):
+    return [(r.id, r.is_comment, r.image_width, r.href, r.texts) for r in rows]
+
+
+def slow(html):
+    page = ForumPage()
+    page.feed(html)
+    page.close()
+    page._end_text()
+    return summary(page.rows)
+
+
+def fast(html):
+    page = ForumPage()
+    regular = page._read_regular(html)
+    page._end_text()
+    return summary(page.rows) if regular else None
+
+
+PIECES = [
+    '<tr class="athing comtr" id="1">', "<TR CLASS='athing' ID=2>", "</tr>", '<td class="ind">',
+    "</td>", '<img width="0">', "<img width=40/>", '<img src="s.gif" width=\'0\' />', "<br>", "<br/>",
+    '<div class="commtext c00">', '<div class="commtext" />', "</div>", "<p>", "</p>", "<i>", "</i>",
+    '<a class="hnuser" href="x?a=1&amp;b=2">', '<span class="age" title="t">', "</span>", "</a>",
+    '<a href="item?id=1">', '<span class="titleline">', '<a class=titlelink>', "text", " ", "\n",
+    "a &amp; b", "1 &lt; 2", "&#x27;", "&copy", "AT&T;", "<", "< 3", "<!-- c -->", "<!doctype html>",
+    "<script>", "</script>", "<title>", "</title>", "<textarea>", "x<y>", "<a b=c'd>", "<a 'x>",
+    "</a href=x>", '<a href="a>b">', "<x-y>", "<br / >", "<div\x0bclass=x>", "<a href = y >",
+    "<a class class=hnuser>", "é ", "</ p>", "<p/>", "<style>a</style>", "]]>", "<?x?>",
+]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=14).map("".join))
+def test_both_ways_agree(html):
+    quick = fast(html)
+    assert quick is None or quick == slow(html)
+    assert summary(ForumPage.read(html)) == slow(html)
+
+
+@pytest.mark.parametrize("html, regular", [
+    ("<!DOCTYPE html><html><head><title>t</title><script src=x></script></head></html>", True),
+    ('<tr class="athing" id="1"><td>x &amp; y</td></tr>', True),
+    ("<!-- c --><p>x", False), ("1 < 2", False), ("<script>if (a<b) x()</script>", False),
+    ("<title>a<b>c</b></title>", False), ("<script>", False),
+])
+def test_what_counts_as_regular(html, regular):
+    assert (fast(html) is not None) == regular
