@@ -30,7 +30,7 @@ def test_transform_has_two_shuffles_and_no_python(lazy):
 
 def test_filters_on_derived_columns_stay_above_the_extractors(lazy):
     text = plan(cleaning.clean_salaries(lazy))
-    assert text.index("CollectMetrics") < text.index("_pay_range")
+    assert text.index("CollectMetrics") < text.index("regexp_extract")
     before_window = text[text.index("Window "):]
     assert "regexp_extract" not in before_window
 
