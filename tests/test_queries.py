@@ -8,8 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-
-QUERIES, CHECKS = contract.queries(), contract.oracle_sql()
+from jobsignals.plans.check_sql import CHECKS
+from jobsignals.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +29,10 @@ def plain(value):
     return repr(value) if isinstance(value, float) else str(value)
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(contract.queries()) and set(CHECKS) <= set(contract.oracle_sql())
+
+
 def test_only_models_lack_sql():
     assert set(CHECKS) <= set(QUERIES)
     assert set(QUERIES) - set(CHECKS) == {
