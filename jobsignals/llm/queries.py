@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from jobsignals.llm import (
-    exact_dedup, pattern_packing, private, quality_rules,
+    exact_dedup, lattice_lm, near_dedup, pattern_packing, private, quality_rules, substring_dedup,
 )
 from jobsignals.llm.common import table
 
@@ -30,6 +30,16 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private.private_report(table(spark, sf_dir, "documents"))
@@ -38,3 +48,8 @@ def op8_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.score_texts(table(spark, sf_dir, "documents"))
