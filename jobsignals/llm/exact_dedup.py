@@ -48,7 +48,7 @@ def recipes(docs: DataFrame, least: int = LEAST, most: int = MOST) -> DataFrame:
                        ascii_lower(whole_text()).alias("text"))
     clashing = clashing_hashes(text.select(chunks(F.col("text"), least, most).alias("parts")))
     parts = chunks(F.col("text"), least, most)
-    recipe = (F.transform(parts, F.xxhash64) if not clashing
+    recipe = (F.transform(parts, lambda p: F.xxhash64(p)) if not clashing
               else F.transform(parts, lambda p: identifier(p, clashing)))
     return save(text.select("doc_id", F.sha2("text", 256).alias("text_sha256"),
                             recipe.alias("recipe")), "recipes")
