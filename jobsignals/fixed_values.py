@@ -91,6 +91,11 @@ PAY_AMOUNT = r"\d{2,3}k|\d{5,6}"
 PAY_RANGE_AMOUNT = r"\d{2,3}k?|\d{5,6}"
 PAY_SYMBOL = r"[\$€£]"
 PAY_SYMBOLS = "$€£"
+# The three pay patterns in full; the second has two spellings.
+PAY_RANGE = r"[\$€£]?(\d{2,3}k?|\d{5,6})\s*-\s*[\$€£]?(\d{2,3}k?|\d{5,6})"
+PAY_FROM = r"(?:from|starting at|\+)\s*[\$€£]?(\d{2,3}k|\d{5,6})\+?"
+PAY_PLUS = r"[\$€£]?(\d{2,3}k|\d{5,6})\+"
+PAY_SINGLE = r"[\$€£](\d{2,3}k|\d{5,6})"
 GBP_MARKS = ["£", "gbp"]
 EUR_MARKS = ["€", "eur"]
 HOURLY_BELOW = 200          # amounts below this are read as an hourly rate
@@ -129,6 +134,10 @@ BOOL_FEATURES = [
     "is_tier_1_city", "is_europe", "is_global_remote", "is_yc", "has_equity",
     "offers_visa", "tech_combo_ai", "tech_combo_blockchain",
 ]
+# Columns that never enter the salary matrix; `month` is the folder of the stored table.
+NOT_FEATURES = ("id", "date", "raw_text", "company_name", "role_title", "salary_min",
+                "salary_max", "salary_avg", "log_salary", "currency", "tech_stack",
+                "job_category", "month")
 SALARY_TERMS = 1000
 SALARY_TOKEN = r"\b[a-zA-Z][a-zA-Z]+\b"
 ROLE_TERMS = 2000

@@ -22,8 +22,8 @@ def keep_first(df: DataFrame, keys: Sequence[Column], order: Sequence[Column]) -
 
 
 def dedupe_ids(df: DataFrame, date: str | None = "date", text: str = "raw_text") -> DataFrame:
-    """First row per id, by date, then text."""
-    order = [F.col(c) for c in (date, text) if c and c in df.columns]
+    """First row per id, by date, then text, user and url."""
+    order = [F.col(c) for c in (date, text, "user", "url") if c and c in df.columns]
     return keep_first(df, [F.col("id")], order or [F.col("id")])
 
 

@@ -100,3 +100,20 @@ def page_navigation(pages: DataFrame) -> DataFrame:
         "page_key", "page_no",
         F.when(html.contains("morelink"), next_href(html)).alias("next_href"),
         (html.contains("morelink") & (more_link(html) != "")).alias("has_more"))
+
+
+def complete_threads(pages: DataFrame, first_page: int = 0) -> DataFrame:
+    """id of the threads whose pages have all landed.
+
+    Page numbers run from `first_page` without a gap, and no copy of the last page
+    links to more. A thread without a landed page is not complete.
+    """
+    facts = page_navigation(pages).groupBy("page_key", "page_no").agg(
+        F.bool_or("has_more").alias("has_more"))
+    return (facts.groupBy("page_key").agg(
+        F.count("*").alias("n"), F.count("page_no").alias("numbered"),
+        F.min("page_no").alias("low"), F.max("page_no").alias("high"),
+        F.max_by("has_more", "page_no").alias("more"))
+        .filter((F.col("n") == F.col("numbered")) & (F.col("low") == first_page)
+                & (F.col("high") - F.col("low") + 1 == F.col("n")) & ~F.col("more"))
+        .select(F.col("page_key").alias("id")))

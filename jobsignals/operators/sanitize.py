@@ -57,12 +57,15 @@ def sanitize(df: DataFrame) -> DataFrame:
 
 
 def row_audit(df: DataFrame) -> DataFrame:
-    """Rows left after each sanitation step, as (step_no, step, n_rows)."""
-    text = F.col("raw_text")
+    """Rows left after each sanitation step, as (step_no, step, n_rows).
+
+    Undated posts have no second de-duplication, so it drops none of them.
+    """
+    text, unique = F.col("raw_text"), dedupe_ids(df)
     # One row per surviving group of the second de-duplication; counts only.
-    groups = (dedupe_ids(df)
-              .groupBy(F.xxhash64(text).alias("_h"), month_key(F.col("date")).alias("_m"), text)
-              .agg(F.count("*").alias("_n")))
+    groups = (unique.groupBy(F.xxhash64(text).alias("_h"), month_key(F.col("date")).alias("_m"),
+                             text).agg(F.count("*").alias("_n"))
+              if "date" in df.columns else unique.withColumn("_n", F.lit(1)))
     kept = long_enough(text)
     after = groups.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("id_dedupe"),

@@ -9,10 +9,13 @@ from __future__ import annotations
 import re
 
 from jobsignals.fixed_values import (
-    AI_MODEL_WORDS, BOOL_FEATURES, COMBO_FLAGS, COMPETITORS, FLAG_GROUPS, PAY_BAND_WORDS, ROLES,
-    SKILLS,
+    AI_MODEL_WORDS, BOOL_FEATURES, COMBO_FLAGS, COMPETITORS, FLAG_GROUPS, PAY_BAND_WORDS, PAY_FROM,
+    PAY_PLUS, PAY_RANGE, PAY_SINGLE, ROLE_FALLBACK, ROLE_TERMS, ROLES, SALARY_TERMS, SKILLS,
+    TRAIN_PERCENT,
+)
+from jobsignals.plans.derived import (
+    BLOCK, EXTRAS, FORUM, PAY, PLACES, STACKS, STOP_WORDS, TITLES,
 )
-from jobsignals.plans.derived import BLOCK, EXTRAS, FORUM, PAY, PLACES, STACKS, TITLES
 
 
 def quoted(s: str) -> str:
@@ -63,10 +66,7 @@ kept AS (
   SELECT *, lower(trim(raw_text)) AS low FROM u2
   WHERE length(raw_text) >= 50 AND NOT starts_with(trim(raw_text), '>'))"""
 
-_RANGE = r"[\$€£]?(\d{2,3}k?|\d{5,6})\s*-\s*[\$€£]?(\d{2,3}k?|\d{5,6})"
-_FROM = r"(?:from|starting at|\+)\s*[\$€£]?(\d{2,3}k|\d{5,6})\+?"
-_PLUS = r"[\$€£]?(\d{2,3}k|\d{5,6})\+"
-_ONE = r"[\$€£](\d{2,3}k|\d{5,6})"
+_RANGE, _FROM, _PLUS, _ONE = PAY_RANGE, PAY_FROM, PAY_PLUS, PAY_SINGLE
 
 
 def _num(pattern: str, group: int = 1) -> str:
@@ -183,12 +183,35 @@ _LISTING = ("array_to_string([x FOR x IN [" + ", ".join(
 _TECH_COLUMNS = ", ".join(
     f"CAST(list_contains(stack, {quoted(t)}) AS INTEGER) AS "
     f"\"tech_{t.lower().replace(' ', '_').replace('.', '')}\""
-    for t in ["AWS", "C#", "C++", "Docker", "Go", "Java", "JavaScript", "Machine Learning",
-              "Python", "React", "Rust", "SQL", "iOS"])
+    for t in SKILLS)
 _BOOLS = ", ".join(f"CAST({b} AS INTEGER) AS {b}" for b in BOOL_FEATURES)
 _BANDS = ", ".join(f"CAST({_word('lower(raw_text)', [w])} AS INTEGER) AS is_{w}"
                    for w in PAY_BAND_WORDS)
 
+
+
+def _terms(token: str, k: int) -> str:
+    """Words of all documents and their k most frequent terms."""
+    stop = ", ".join(map(quoted, STOP_WORDS))
+    return f"""docs AS (
+          SELECT doc_id, regexp_extract_all(lower(text), '[\\pL\\pM\\pN_]+') AS tokens
+          FROM documents),
+        words AS (
+          SELECT * FROM (SELECT doc_id, unnest(tokens) AS term FROM docs)
+          WHERE regexp_full_match(term, '{token}') AND term NOT IN ({stop})),
+        total AS (SELECT count(*) AS n_docs FROM docs),
+        top AS (
+          SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df, n_docs,
+                 ln((n_docs + 1)::DOUBLE / (count(DISTINCT doc_id) + 1)) + 1 AS idf
+          FROM words, total GROUP BY term, n_docs ORDER BY tf DESC, term LIMIT {k})"""
+
+
+def _hex_number(text: str, digits: int) -> str:
+    return "(" + " + ".join(
+        f"{16 ** (digits - 1 - i)} * (strpos('0123456789abcdef', substr({text}, {i + 1}, 1)) - 1)"
+        for i in range(digits)) + ")"
+
+
 TREND = """SELECT month, tech, tech_count, total_jobs,
   tech_count::DOUBLE / total_jobs::DOUBLE * 100 AS percentage
 FROM (SELECT month, tech, count(id) AS tech_count FROM tech GROUP BY month, tech)
@@ -202,8 +225,11 @@ threads AS (
          strftime(day, '%Y-%m-%d') AS thread_date, day FROM months)"""
 
 COMMENTS = POSTINGS + f""",
-page AS (SELECT DISTINCT strftime(CAST(thread_date AS DATE), 't%Y%m') AS page_key,
-                k // {BLOCK} AS page_no, thread_date FROM fx),
+blocks AS (SELECT DISTINCT strftime(CAST(thread_date AS DATE), 't%Y%m') AS page_key,
+                  k // {BLOCK} AS block, thread_date FROM fx),
+page AS (SELECT page_key, thread_date, count(*) OVER (PARTITION BY page_key) AS n_pages,
+                row_number() OVER (PARTITION BY page_key ORDER BY block) - 1 AS page_no
+         FROM blocks),
 extra AS (SELECT *, page_key || '-' || page_no AS page FROM page),
 comments AS (
   SELECT id, thread_date, raw_text, usr AS "user" FROM fx
@@ -329,8 +355,8 @@ CHECKS = {
     "parse_thread_pages": _with(MONTHS, f"""
         SELECT id, title, thread_date, '{FORUM}/item?id=' || id AS url FROM threads"""),
     "page_navigation": _with(COMMENTS, """
-        SELECT page_key, page_no, page_no % 3 <> 2 AS has_more,
-          CASE WHEN page_no % 3 <> 2 THEN 'item?id=' || page_key || '&p=' || (page_no + 2) END
+        SELECT page_key, page_no, page_no + 1 < n_pages AS has_more,
+          CASE WHEN page_no + 1 < n_pages THEN 'item?id=' || page_key || '&p=' || (page_no + 2) END
             AS next_href FROM page"""),
     "foreign_page_comments": """SELECT count(*) AS n FROM pages
         WHERE regexp_matches(html, '<tr [^>]*class="[^"]*athing comtr')""",
@@ -343,17 +369,35 @@ CHECKS = {
         SELECT id, round(ln(1 + salary_avg), 6) AS log_salary, {_TECH_COLUMNS}, {_BOOLS},
                coalesce(years_experience, -1) AS years_experience, {_BANDS}
         FROM post WHERE salary_avg > 10000 AND salary_avg < 500000 AND currency = 'USD'"""),
-    "tfidf_top_terms": """WITH docs AS (
-          SELECT doc_id, regexp_extract_all(lower(text), '[\\pL\\pM\\pN_]+') AS tokens
-          FROM documents WHERE lang = 'en'),
-        words AS (
-          SELECT * FROM (SELECT doc_id, unnest(tokens) AS term FROM docs)
-          WHERE regexp_full_match(term, '[a-z][a-z]+')
-            AND term NOT IN ('the', 'and', 'of', 'to', 'in')),
-        total AS (SELECT count(*) AS n_docs FROM docs)
-        SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df, n_docs,
-               round(ln((n_docs + 1)::DOUBLE / (count(DISTINCT doc_id) + 1)) + 1, 6) AS idf
-        FROM words, total GROUP BY term, n_docs ORDER BY tf DESC, term LIMIT 50""",
+    "tfidf_top_terms": _with(_terms("[a-z][a-z]+", SALARY_TERMS), """SELECT term, tf, df, n_docs,
+        round(idf, 6) AS idf FROM top"""),
+    **{name: _with(_terms(token, k) + """,
+        cells AS (SELECT doc_id, term, count(*) * idf AS w FROM words JOIN top USING (term)
+                  GROUP BY doc_id, term, idf)""", """
+        SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight
+        FROM cells""")
+       for name, token, k in (("tfidf_weights", "[a-z][a-z]+", SALARY_TERMS),
+                              ("tfidf_weights_roles", "[\\pL\\pM\\pN_]{2,}", ROLE_TERMS))},
+    "train_split": _with(STRUCTURED, f"""SELECT id, {_hex_number("md5(id)", 4)} % 100
+        < {TRAIN_PERCENT} AS in_training FROM post"""),
+    "category_one_hot": _with(STRUCTURED, "SELECT id, " + ", ".join(
+        f"(job_category = {quoted(c)})::INTEGER AS \"is_{c}\"" for c in (*ROLES, ROLE_FALLBACK))
+        + " FROM post"),
+    "row_audit_undated": _with(KEPT, """
+        SELECT 0 AS step_no, 'input' AS step, count(*) AS n_rows FROM fx
+        UNION ALL SELECT 1, 'id_dedupe', count(*) FROM u1
+        UNION ALL SELECT 2, 'text_dedupe', count(*) FROM u1
+        UNION ALL SELECT 3, 'length_filter', count(*) FROM u1 WHERE length(raw_text) >= 50
+        UNION ALL SELECT 4, 'quote_filter', count(*) FROM u1
+          WHERE length(raw_text) >= 50 AND NOT starts_with(trim(raw_text), '>')"""),
+    "stored_months": _with(STRUCTURED, """SELECT strftime(date, '%Y-%m') AS month,
+        count(*) AS n, min(date) AS first_date, max(salary_avg) AS top_salary FROM post
+        GROUP BY 1"""),
+    "stored_threads": _with(MONTHS, f"""
+        SELECT id, title, thread_date, '{FORUM}/item?id=' || id AS url FROM threads"""),
+    "merged_raw": _with(COMMENTS, _COMMENT.replace("SELECT id", """SELECT DISTINCT
+        substr(thread_date, 1, 7) AS month, id""", 1)),
+    "two_streams_ingest": _with(COMMENTS, _COMMENT.replace("SELECT", "SELECT DISTINCT", 1)),
     "label_confusion": """SELECT CAST(quality AS VARCHAR) AS actual,
         count(*) FILTER (toxic = 0) AS "0", count(*) FILTER (toxic = 1) AS "1"
         FROM labels GROUP BY quality""",

@@ -7,20 +7,27 @@ and the volume grows with `orders`.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 TITLES = ["Senior Backend Engineer", "Junior Web Developer", "Machine Learning Engineer",
           "Site Reliability Engineer", "iOS Developer", "Engineering Manager",
-          "Full-Stack Developer"]
+          "Full-Stack Developer", "Founding Architect, Staff level",
+          "Principal Lead, Head of Data, Director or VP"]
 PLACES = ["Remote", "Remote (Global)", "San Francisco", "London", "Berlin", "ONSITE Austin",
           "Remote EU", "NYC", "Tokyo", "Anywhere", "Denver"]
 PAY = ["$120k - $150k", "100-140k", "$100,000 - $140,000", "$80k+", "from $95k", "$6k - $8k",
        "£55,000 - £75,000", "$45-60/hr", "", "$150k", "€70k+", "2020-2025", "90k - 110k",
        "10k-12k", "$900,000", "from 00500", "00-10 $90k"]
 STACKS = ["Python, AWS", "Golang, Docker", "Rust, web3", "React, TypeScript", "Java, SQL",
-          "Python, PyTorch", "cpp, dotnet", ""]
-EXTRAS = ["YC S21", "Series B, equity", "visa sponsorship", "3+ years", "10 years"]
+          "Python, PyTorch", "cpp, dotnet", "", "Vue.js, PHP, Redis", "AngularJS, Azure",
+          "Ruby on Rails, GCP, Git", "Kubernetes, Terraform, Linux",
+          "deep learning, data science", "Hadoop, Kafka", "Kotlin, Flutter, React Native, Swift",
+          "Rust, solana, Python, LLM"]
+EXTRAS = ["YC S21", "Series B, equity", "visa sponsorship", "3+ years", "10 years",
+          "35+ years in trade", "40 years"]
+
+STOP_WORDS = ["the", "and", "of", "to", "in", "der", "die", "und", "la", "de", "que", "et"]
 
 FORUM = "http://forum.example.com"
 BLOCK = 8000        # order keys per page block; bounds the posts of one page
@@ -80,24 +87,30 @@ def forum_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """page_key, page_no, thread_date, html: one page per month and key block.
 
     Besides its posts, every page holds a nested reply (to be dropped), a row
-    without text, a row without user and a text with a paragraph inside. Two of
-    three pages have a 'more' link. A page gathers at most BLOCK order keys, so
-    no group grows with the data.
+    without text, a row without user and a text with a paragraph inside. All but
+    the last page of a month have a 'more' link. A page gathers at most BLOCK order
+    keys, so no group of texts grows with the data; pages are numbered by their keys.
     """
     posts = postings(spark, sf_dir, extra=True)
-    block = (F.col("k") - F.col("k") % BLOCK) / BLOCK
+    block = ((F.col("k") - F.col("k") % BLOCK) / BLOCK).cast("int").alias("block")
+    key = thread_key(F.col("thread_date")).alias("page_key")
     rows = posts.select(
-        thread_key(F.col("thread_date")).alias("page_key"),
-        block.cast("int").alias("page_no"), "thread_date", "id",
+        key, block, "thread_date", "id",
         _row(F.col("id"), _body(escape(F.col("raw_text"))), F.col("user")).alias("row"))
-    grouped = rows.groupBy("page_key", "page_no", "thread_date").agg(
-        F.array_sort(F.collect_list(F.struct("id", "row"))).alias("rows"))
+    month = Window.partitionBy("page_key")
+    numbers = posts.select(key, block).distinct().select(
+        "page_key", "block",
+        (F.row_number().over(month.orderBy("block")) - 1).alias("page_no"),
+        F.count("*").over(month).alias("n_pages"))
+    grouped = rows.groupBy("page_key", "block", "thread_date").agg(
+        F.array_sort(F.collect_list(F.struct("id", "row"))).alias("rows")).join(
+        numbers, ["page_key", "block"])
     page = F.concat_ws("-", "page_key", "page_no")
     odd = [_row(F.concat(F.lit("n-"), page), _body(F.lit("nested")), F.lit("n"), width=40),
            _row(F.concat(F.lit("e-"), page), F.lit(""), F.lit("e")),
            _row(F.concat(F.lit("u-"), page), _body(F.lit("no user")), None),
            _row(F.concat(F.lit("p-"), page), _body(F.lit("one<p>two &amp; three")), F.lit("p"))]
-    more = F.when(F.col("page_no") % 3 != 2, F.concat(
+    more = F.when(F.col("page_no") + 1 < F.col("n_pages"), F.concat(
         F.lit('<a href="item?id='), F.col("page_key"), F.lit("&amp;p="),
         F.col("page_no") + 2, F.lit('" class="morelink" rel="next">More</a>')))
     html = F.concat(F.lit("<html><body><table>\n"), F.array_join("rows.row", ""), *odd,

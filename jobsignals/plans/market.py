@@ -8,23 +8,27 @@ from jobsignals.operators import pay, profile, trends
 from jobsignals.operators.cleaning import cap_years, clean_salaries
 from jobsignals.operators.sanitize import normalise, sanitize
 from jobsignals.operators.structure import structure
-from jobsignals.sources.tables import read_raw, write_structured
+from jobsignals.sources.tables import read_raw, read_structured, write_structured
 
 
-def transform(raw: DataFrame, rows: Observation | None = None) -> DataFrame:
+def transform(raw: DataFrame, rows: Observation | None = None,
+              bad_dates: str = "raise") -> DataFrame:
     """Raw posts to structured posts: two shuffles, then one narrow stage."""
-    return structure(sanitize(normalise(raw)), rows)
+    return structure(sanitize(normalise(raw, bad_dates)), rows)
 
 
 def run_transform(spark: SparkSession, input_path: str, output_path: str,
-                  sample_size: int | None = None) -> DataFrame:
-    """Read, transform and store. A sample is returned and not stored."""
+                  sample_size: int | None = None, bad_dates: str = "raise") -> DataFrame:
+    """Read, transform and store; the stored table is returned, so nothing runs twice.
+
+    A sample is returned and not stored. With `bad_dates='null'`, posts whose date
+    cannot be read are kept in the null month instead of stopping the run.
+    """
     raw = read_raw(spark, input_path)
     if sample_size:
-        return structure(profile.head(sanitize(normalise(raw)), sample_size))
-    posts = transform(raw)
-    write_structured(posts, output_path)
-    return posts
+        return structure(profile.head(sanitize(normalise(raw, bad_dates)), sample_size))
+    write_structured(transform(raw, bad_dates=bad_dates), output_path)
+    return read_structured(spark, output_path)
 
 
 def market_reports(structured: DataFrame) -> dict[str, DataFrame]:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -41,6 +43,33 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def delete(spark: SparkSession, path: str, at_exit: bool = False) -> None:
+    """Remove a folder of ours, now or when the application ends."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if at_exit:
+        files.deleteOnExit(where)
+    else:
+        files.delete(where, True)
+
+
+@contextmanager
+def temporary(spark: SparkSession, name: str) -> Iterator[str]:
+    """A fresh path below the shared folder that is removed afterwards."""
+    path = scratch(spark, name)
+    try:
+        yield path
+    finally:
+        delete(spark, path)
+
+
+def until_exit(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder that is removed when the application ends."""
+    path = scratch(spark, name)
+    delete(spark, path, at_exit=True)
+    return path
+
+
 def enable_checkpoints(spark: SparkSession) -> None:
     """Let iterative training cut its lineage in the shared folder."""
     if not spark.sparkContext.getCheckpointDir():

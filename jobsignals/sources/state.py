@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from jobsignals.fixed_values import THREADS_FROM
 from jobsignals.operators.dedupe import distinct_ids
 from jobsignals.schemas import PROCESSED, THREADS
+from jobsignals.sources.tables import read_typed
 
 
 def _json_or_empty(spark: SparkSession, path: str, schema, multi_line: bool) -> DataFrame:
@@ -62,11 +63,12 @@ def pending_threads(threads: DataFrame, processed: DataFrame, since: str = THREA
 
 def known_ids(spark: SparkSession, parquet: Sequence[str] = (),
               csv: Sequence[str] = ()) -> DataFrame:
-    """Distinct ids over parquet and CSV files; only the id column is read."""
-    frames = []
-    if parquet:
-        frames.append(spark.read.option("ignoreCorruptFiles", True)
-                      .parquet(*parquet).select(F.col("id").cast("string")))
+    """Distinct ids over parquet and CSV files; only the id column is read.
+
+    Each file keeps its own type of id until it is cast; one that is no parquet is
+    left out with a warning.
+    """
+    frames = [read_typed(spark, path, ["id"]).select("id") for path in parquet]
     if csv:
         frames.append(spark.read.option("header", True).csv(list(csv))
                       .select(F.col("id").cast("string")))

@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import json
+import warnings
+from collections.abc import Sequence
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobsignals.functions.text import month_key
-from jobsignals.operators.dedupe import dedupe_ids
+from jobsignals.operators.dedupe import keep_first
 from jobsignals.schemas import COMMENTS, STRUCTURED
 
 
-def _replace_partitions(df: DataFrame, path: str, by: str, *order: str) -> None:
+def _replace_partitions(df: DataFrame, path: str, *by: str, order: str | None = None) -> None:
     """Overwrite only the partitions present in `df`; an empty frame is a no-op.
 
     Rebalancing gives one file per small partition value and lets the adaptive
     planner cut a value that holds much of the data into several tasks. Rows are
     sorted by `order` inside files only.
     """
-    (df.hint("rebalance", by).sortWithinPartitions(by, *order)
-     .write.partitionBy(by).mode("overwrite")
+    (df.hint("rebalance", *by).sortWithinPartitions(*by, *([order] if order else []))
+     .write.partitionBy(*by).mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").parquet(path))
 
 
@@ -29,31 +34,79 @@ def write_thread_comments(comments: DataFrame, path: str) -> None:
     _replace_partitions(comments.withColumn("id", F.col("id").cast("string")), path, "thread_id")
 
 
-def write_batch_comments(comments: DataFrame, batch_id: int, path: str) -> None:
-    """One partition per micro-batch, so a replayed batch rewrites itself."""
-    _replace_partitions(comments.withColumn("batch_id", F.lit(batch_id)), path, "batch_id")
+def write_batch_comments(comments: DataFrame, stream_id: str, batch_id: int, path: str) -> None:
+    """One partition per stream and micro-batch, so a replayed batch rewrites itself only."""
+    _replace_partitions(comments.withColumns({"stream_id": F.lit(stream_id),
+                                              "batch_id": F.lit(batch_id)}),
+                        path, "stream_id", "batch_id")
+
+
+class SkippedFile(UserWarning):
+    """A file that is no readable table has been left out."""
+
+
+def read_typed(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """`columns` as strings from parquet files that may store them in different types.
+
+    Where all files agree, that is one read. Otherwise files are grouped by their own
+    schema, each group is read as it is stored, cast, and united by name; this takes a
+    look at every footer from the driver, so keep mixed folders small. A column a file
+    lacks is null there. A file that is no parquet is left out with a warning.
+    """
+    def cast(df: DataFrame) -> DataFrame:
+        parts = [c for c in ("thread_id", "stream_id", "batch_id") if c in df.columns]
+        return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast("string").alias(c)
+                           for c in dict.fromkeys([*columns, *parts])])
+
+    try:
+        return cast(spark.read.option("mergeSchema", True).parquet(path))
+    except (PySparkException, Py4JJavaError) as e:
+        if isinstance(e, AnalysisException) and e.getCondition() == "PATH_NOT_FOUND":
+            raise
+    groups: dict[str, list[str]] = {}
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    for file in sorted(listed.inputFiles()):
+        try:
+            schema = spark.read.option("basePath", path).parquet(file).schema
+            own = sorted((f.name, f.dataType.simpleString()) for f in schema)
+            groups.setdefault(json.dumps(own), []).append(file)
+        except (PySparkException, Py4JJavaError):
+            warnings.warn(f"left out, not readable as parquet: {file}", SkippedFile, stacklevel=2)
+    frames = [cast(spark.read.option("basePath", path).parquet(*files))
+              for _, files in sorted(groups.items())]
+    if not frames:
+        return cast(spark.createDataFrame([], "id string"))
+    every = frames[0]
+    for more in frames[1:]:
+        every = every.unionByName(more, allowMissingColumns=True)
+    return every
 
 
 def read_comments(spark: SparkSession, path: str) -> DataFrame:
     """All threads or batches as one table, columns by name, first row per id.
 
-    Unreadable files are skipped.
+    The first is the one with the least date, then the earliest batch, so that an
+    edited copy of a page that lands later changes nothing; then by text, user and url.
+    Partition columns stay, for pruning. Unreadable files are left out with a warning.
     """
-    rows = (spark.read.schema(COMMENTS).option("ignoreCorruptFiles", True)
-            .option("recursiveFileLookup", True).parquet(path))
-    return dedupe_ids(rows, date="thread_date")
+    rows = read_typed(spark, path, COMMENTS.names)
+    landing = [F.col(c).cast(t) for c, t in (("batch_id", "long"), ("stream_id", "string"))
+               if c in rows.columns]
+    order = [F.col("thread_date"), *landing, *map(F.col, ("raw_text", "user", "url"))]
+    return keep_first(rows, [F.col("id")], order)
 
 
 def write_raw(posts: DataFrame, path: str, range_path: str | None = None) -> None:
     """Merged raw posts, one folder per month, sorted by date inside files.
 
-    Months present in `posts` are replaced; no posts, no change. The first and
-    last date of the table go to `range_path`, so no reader depends on a file
-    name that encodes them. They are read back from the one stored column.
+    Months present in `posts` are replaced; no posts, no change. Posts without a
+    readable date share the null month. The first and last date of the table go to
+    `range_path`, so no reader depends on a file name that encodes them. They are
+    read back from the one stored column.
     """
     typed = posts.withColumns({"id": F.col("id").cast("string"),
-                               "month": month_key(F.to_date("thread_date"))})
-    _replace_partitions(typed, path, "month", "thread_date")
+                               "month": month_key(F.col("thread_date").try_cast("date"))})
+    _replace_partitions(typed, path, "month", order="thread_date")
     if range_path:
         stored = posts.sparkSession.read.schema("thread_date string, month string").parquet(path)
         date_range(stored).write.mode("overwrite").json(range_path)
@@ -61,8 +114,18 @@ def write_raw(posts: DataFrame, path: str, range_path: str | None = None) -> Non
 
 def merge_comments(spark: SparkSession, store: str, path: str,
                    range_path: str | None = None) -> None:
-    """All stored threads or batches, first row per id, as the merged raw table."""
-    write_raw(read_comments(spark, store), path, range_path)
+    """All stored threads or batches, first row per id, as the merged raw table.
+
+    Without a store, or with an empty one, there is nothing to merge and no change.
+    """
+    try:
+        rows = read_comments(spark, store)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return
+    if not rows.isEmpty():
+        write_raw(rows.select(*COMMENTS.names), path, range_path)
 
 
 def date_range(posts: DataFrame, date: str = "thread_date") -> DataFrame:
@@ -80,8 +143,12 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_structured(posts: DataFrame, path: str) -> None:
-    """Structured posts, one folder per month, ready for month pruning."""
-    (posts.withColumn("month", month_key(F.col("date"))).hint("rebalance", "month")
+    """Structured posts, one folder per month, ready for month pruning.
+
+    Posts without dates, row by row or as a whole, are in the null month.
+    """
+    month = month_key(F.col("date")) if "date" in posts.columns else F.lit(None).cast("string")
+    (posts.withColumn("month", month).hint("rebalance", "month")
      .write.partitionBy("month").mode("overwrite").parquet(path))
 
 

@@ -7,42 +7,53 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from jobsignals.fixed_values import BASE_URL, THREADS_FROM
-from jobsignals.operators.pages import parse_comments
+from jobsignals.operators.pages import complete_threads, parse_comments
 from jobsignals.schemas import PAGES
+from jobsignals.session import temporary
 from jobsignals.sources.state import mark_processed, pending_threads, read_processed
 from jobsignals.sources.tables import write_batch_comments, write_thread_comments
 
+#: Files of one micro-batch; every file is read, in as many batches as it takes.
+FILES_PER_BATCH = 1000
+
 
 def ingest_batch(spark: SparkSession, threads: DataFrame, pages: DataFrame, store: str,
                  processed: str, since: str = THREADS_FROM, base_url: str = BASE_URL,
                  reopen_newest: bool = False) -> None:
-    """Parse the pages of all pending threads, store them, then mark them.
+    """Parse the pages of all pending threads, store them, then mark the complete ones.
 
-    Data is committed before the mark. A run that dies in between is repeated
-    in full and rewrites the same partitions, so nothing is lost or doubled. A
-    thread without any comment is marked as well.
+    A thread is marked once all its pages have landed, also if no comment stands
+    on them. Until then it stays pending, and each run rewrites what has landed of it.
+    Which threads are complete is settled before any page is parsed, so pages that land
+    meanwhile are never taken for read. Data is committed before the mark: a run
+    that dies in between is repeated and rewrites the same partitions.
     """
     pending = pending_threads(threads, read_processed(spark, processed), since, reopen_newest)
-    wanted = pages.join(pending.select(F.col("id").alias("page_key")), "page_key", "left_semi")
-    write_thread_comments(parse_comments(wanted, base_url, keep_page=True), store)
-    mark_processed(pending, processed)
+    # Pages of old threads are left out by the scan; those without a date are looked at.
+    recent = pages.filter((F.col("thread_date") >= since) | F.col("thread_date").isNull())
+    wanted = recent.join(pending.select(F.col("id").alias("page_key")), "page_key", "left_semi")
+    with temporary(spark, "complete") as path:
+        complete_threads(wanted).write.parquet(path)
+        write_thread_comments(parse_comments(wanted, base_url, keep_page=True), store)
+        mark_processed(spark.read.schema("id string").parquet(path), processed)
 
 
 def ingest_stream(spark: SparkSession, landing: str, store: str, checkpoint: str,
-                  base_url: str = BASE_URL, max_files: int | None = None) -> StreamingQuery:
+                  base_url: str = BASE_URL, max_files: int = FILES_PER_BATCH) -> StreamingQuery:
     """Parse whatever has landed since the last run, then stop.
 
-    The query checkpoint is the processed set. The sink is one partition per
-    batch: a batch that is replayed after a failure replaces its own output,
-    and a thread whose pages arrive in two batches keeps both parts. Read the
-    result with `read_comments`, which keeps the first row per id.
+    The backlog is read in batches of `max_files`, so a failure repeats one of them.
+    The query checkpoint is the processed set. The sink is one partition per stream
+    and batch: a batch that is replayed after a failure replaces its own output, and
+    a thread whose pages arrive in two batches keeps both parts. A stream is named by
+    the id in its checkpoint, so another stream, or one that starts anew after its
+    checkpoint was lost, never replaces what is stored. Read the result with
+    `read_comments`, which keeps the first row per id.
     """
-    source = spark.readStream.schema(PAGES)
-    if max_files:
-        source = source.option("maxFilesPerTrigger", max_files)
-
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch_comments(parse_comments(batch, base_url), batch_id, store)
+        meta = batch.sparkSession.read.schema("id string").json(f"{checkpoint}/metadata")
+        write_batch_comments(parse_comments(batch, base_url), meta.first()["id"], batch_id, store)
 
+    source = spark.readStream.schema(PAGES).option("maxFilesPerTrigger", max_files)
     return (source.parquet(landing).writeStream.foreachBatch(write)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -228,12 +228,104 @@ def test_lost_mark_repeats_without_doubling(spark, sf_dir, tmp_path):
     assert rows.count() == wanted.count()
 
 
-def test_thread_without_comments_is_marked(spark, tmp_path):
-    threads = spark.createDataFrame([("t1", "x", "2023-01-01", "u")],
-                                    "id string, title string, thread_date string, url string")
-    none = spark.createDataFrame([], "page_key string, page_no int, thread_date string, html string")
-    ingest_batch(spark, threads, none, str(tmp_path / "s"), str(tmp_path / "d"))
-    assert [r.id for r in state.read_processed(spark, str(tmp_path / "d")).collect()] == ["t1"]
+THREADS = "id string, title string, thread_date string, url string"
+PAGES = "page_key string, page_no int, thread_date string, html string"
+MORE = '<a class="morelink" href="x">More</a>'
+
+
+def page(key, no, *ids, more=False, date="2023-01-01"):
+    rows = "".join(f'<tr class="athing comtr" id="{i}"><td class="ind"><img width="0"></td><td>'
+                   f'<div class="commtext">text of {i}</div></td></tr>' for i in ids)
+    return (key, no, date, f"<table>{rows}</table>" + (MORE if more else ""))
+
+
+def test_threads_stay_pending_until_all_pages_landed(spark, tmp_path):
+    store, done = str(tmp_path / "s"), str(tmp_path / "d")
+    threads = spark.createDataFrame([(t, "x", "2023-01-01", "u") for t in
+                                     ("none", "first", "late", "gap", "empty", "whole")], THREADS)
+    landed = [page("first", 0, "a1", more=True), page("late", 0, "b1", more=True),
+              page("gap", 1, "c2"), page("empty", 0), page("whole", 0, "e1", more=True),
+              page("whole", 1, "e2")]
+
+    def run():
+        ingest_batch(spark, threads, spark.createDataFrame(landed, PAGES), store, done)
+        marked = {r.id for r in state.read_processed(spark, done).collect()}
+        return marked, {r.id for r in tables.read_comments(spark, store).collect()}
+
+    assert run() == ({"empty", "whole"}, {"a1", "b1", "c2", "e1", "e2"})
+    landed.append(page("late", 1, "b2"))
+    assert run() == ({"empty", "whole", "late"}, {"a1", "b1", "b2", "c2", "e1", "e2"})
+    # A later copy of the last page links on: nothing is complete before that has landed.
+    landed += [page("gap", 0, "c1", more=True), page("gap", 1, "c2", more=True)]
+    assert run()[0] == {"empty", "whole", "late"}
+    landed.append(page("gap", 2, "c3"))
+    marked, ids = run()
+    assert marked == {"empty", "whole", "late", "gap"} and {"c1", "c2", "c3"} <= ids
+
+
+def test_old_pages_are_left_out_by_the_scan(spark, tmp_path):
+    spark.createDataFrame([page("t", 0, "a")], PAGES).write.parquet(str(tmp_path / "landing"))
+    landed = spark.read.schema(PAGES).parquet(str(tmp_path / "landing"))
+    recent = landed.filter((F.col("thread_date") >= "2022-01-01") | F.col("thread_date").isNull())
+    plan = pages.complete_threads(recent)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(thread_date,2022-01-01)" in plan
+
+
+def stream(spark, root, landing, checkpoint):
+    ingest_stream(spark, f"{root}/{landing}", f"{root}/store", f"{root}/{checkpoint}", "b",
+                  max_files=1).awaitTermination()
+    return tables.read_comments(spark, f"{root}/store")
+
+
+def test_streams_do_not_replace_each_other(spark, tmp_path):
+    for n, ids in enumerate((["a", "b"], ["c"])):
+        spark.createDataFrame([page(f"t{n}", 0, *ids)], PAGES).write.parquet(f"{tmp_path}/land{n}")
+    assert stream(spark, tmp_path, "land0", "cp0").count() == 2
+    assert {r.id for r in stream(spark, tmp_path, "land1", "cp1").collect()} == {"a", "b", "c"}
+    # A lost checkpoint: the pages are read again, under a name of their own.
+    assert {r.id for r in stream(spark, tmp_path, "land0", "cp2").collect()} == {"a", "b", "c"}
+    assert "batch_id" in stream(spark, tmp_path, "land0", "cp2").columns
+
+
+def test_an_edited_page_changes_nothing(spark, tmp_path):
+    def land(text):
+        key, no, date, html = page("t", 0, "a")
+        spark.createDataFrame([(key, no, date, html.replace("text of a", text))], PAGES).write.mode(
+            "append").parquet(f"{tmp_path}/land")
+        return stream(spark, tmp_path, "land", "cp").first().raw_text
+
+    assert land("bbb first") == "bbb first" and land("aaa edited") == "bbb first"
+
+
+def test_types_are_mixed_and_nothing_vanishes(spark, tmp_path):
+    store = str(tmp_path / "store")
+    numbers = spark.createDataFrame([(1, "2023-01-01", "x"), (2, "2023-01-01", "y")],
+                                    "id int, thread_date string, raw_text string")
+    numbers.write.parquet(f"{store}/thread_id=n")
+    numbers.withColumn("id", F.concat("id", F.lit("s"))).write.parquet(f"{store}/thread_id=s")
+    numbers.withColumn("id", F.col("id") + 10.5).write.parquet(f"{store}/thread_id=d")
+    (tmp_path / "store" / "thread_id=bad").mkdir()
+    (tmp_path / "store" / "thread_id=bad" / "x.parquet").write_bytes(b"not parquet")
+    with pytest.warns(tables.SkippedFile, match="bad/x.parquet"):
+        got = tables.read_comments(spark, store)
+    assert sorted((r.id, r.thread_id) for r in got.collect()) == [
+        ("1", "n"), ("11.5", "d"), ("12.5", "d"), ("1s", "s"), ("2", "n"), ("2s", "s")]
+    ids = state.known_ids(spark, [store + "/thread_id=n", store + "/thread_id=s"])
+    assert sorted(r.id for r in ids.collect()) == ["1", "1s", "2", "2s"]
+
+
+def test_bad_dates_do_not_stop_the_merge(spark, tmp_path):
+    rows = [("1", "2023-01-05", "a"), ("2", "", "b"), ("3", "soon", "c"), ("4", None, "d")]
+    posts = spark.createDataFrame(rows, "id string, thread_date string, raw_text string")
+    tables.write_thread_comments(posts.withColumn("thread_id", F.lit("t")), f"{tmp_path}/store")
+    tables.merge_comments(spark, f"{tmp_path}/store", f"{tmp_path}/raw")
+    got = tables.read_raw(spark, f"{tmp_path}/raw").select("id", "month").collect()
+    assert sorted(map(tuple, got)) == [("1", "2023-01"), ("2", None), ("3", None), ("4", None)]
+
+
+def test_nothing_to_merge(spark, tmp_path):
+    tables.merge_comments(spark, f"{tmp_path}/none", f"{tmp_path}/raw")
+    assert not (tmp_path / "raw").exists()
 
 
 def test_stream_equals_batch_and_survives_replay(spark, sf_dir, tmp_path):
