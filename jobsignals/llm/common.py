@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsignals.session import scratch
+from jobsignals.session import until_exit
 
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -16,6 +20,23 @@ ASCII_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 U64 = np.uint64
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give executors this package, once an application, so that none needs it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[2]
+    file = Path(tempfile.mkdtemp(prefix="package-")) / "jobsignals.zip"
+    with zipfile.ZipFile(file, "w") as out:
+        for source in sorted((root / "jobsignals").rglob("*.py")):
+            out.write(source, source.relative_to(root))
+    context.addPyFile(str(file))  # the driver serves it
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -26,11 +47,8 @@ def save(df: DataFrame, name: str) -> DataFrame:
     The files go when the application ends.
     """
     spark = df.sparkSession
-    path = scratch(spark, name)
+    path = until_exit(spark, name)
     df.write.parquet(path)
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -44,6 +62,7 @@ def whole_text(name: str = "text") -> Column:
 
 def doc_rows(docs: DataFrame) -> DataFrame:
     """(doc_id, th, text): th tells apart different texts that share an id, or have none."""
+    ship(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.xxhash64(whole_text()).alias("th"), whole_text().alias("text"))
 

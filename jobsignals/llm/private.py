@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from jobsignals.llm.common import ship
+
 KINDS = ("email", "ip", "card", "phone", "iban", "tel", "ssn", "passport")
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -127,6 +129,7 @@ def joined(spans: list[tuple[int, int, str]]) -> str:
 
 def find_private(docs: DataFrame) -> DataFrame:
     """doc_id, base and added spans of every row as arrays of (start, end, kind)."""
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))

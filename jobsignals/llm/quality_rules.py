@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobsignals.llm.common import save, ship
+
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
@@ -75,6 +77,7 @@ def measure(text: str) -> tuple[int, ...]:
 
 def measured(docs: DataFrame) -> DataFrame:
     """doc_id, source, th and the measures of every row."""
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("source").cast("string").alias("source"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -148,8 +151,6 @@ def judged(rows: DataFrame) -> DataFrame:
 
 def quality_report(docs: DataFrame) -> DataFrame:
     """One row per document: measures, base_failed, kept, the host's rate and verdict."""
-    from jobsignals.llm.common import save
-
     return judged(save(measured(docs), "measured")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "n_rules_failed", F.round("host_rate", 6).alias("host_rate"),
@@ -158,8 +159,6 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of docs that the rules keep, all columns."""
-    from jobsignals.llm.common import save
-
     good = judged(save(measured(docs), "measured")).where("kept").select(
         F.col("doc_id").alias("good_id"), F.col("th").alias("good_th"),
         F.col("source").alias("good_source")).distinct()

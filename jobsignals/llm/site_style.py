@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobsignals.llm.common import save
+from jobsignals.llm.common import save, ship
 from jobsignals.llm.page_blocks import blocks, main_blocks
 
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/:?#]+)"
@@ -35,6 +35,7 @@ MIN_PAGES, MIN_SHARE = 5, 0.01
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
+    ship(pages.sparkSession)
     return pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), HOST, 1)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from jobsignals.llm.common import doc_rows
 from jobsignals.llm.tokens import WordTokens, default_tokenizer, token_batches
-from jobsignals.session import scratch
+from jobsignals.session import until_exit
 
 MAX_TOKENS = 4096
 BLOCK_TOKENS = 4 << 20
@@ -182,8 +182,6 @@ def segments(sequences: DataFrame) -> DataFrame:
 def packed_report(docs: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """The packed sequences written and read back, one row per segment."""
     spark = docs.sparkSession
-    path = scratch(spark, "packed")
+    path = until_exit(spark, "packed")
     write_packed(docs, path, max_tokens)
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
     return segments(read_packed(spark, path))
