@@ -7,10 +7,13 @@ collide. A pair with `MATCHES` equal coordinates of `COORDINATES` must meet in t
 ones are skipped. Collisions are then counted on both whole signatures, and pairs above the match
 threshold are confirmed on both full sets.
 
-A posting list is not expanded into pairs. Twice, each list links its members with one hub; where
-the links hold, the list falls into components, and only members of different components still
-need a comparison. What the hubs leave is compared pair by pair, so no link between components is
-lost, while a list of copies costs one comparison a member.
+A posting list is not expanded into pairs. Round by round, each list links its members with one
+hub, first with the member that has the fewest shingles of its own; where the links hold, the list
+falls into components, and only members of different components still need a comparison. Before each round,
+every member's shingles that also occur in another component are counted: no overlap with a member
+of another component is larger, so members with too few leave the list. What the hubs leave is
+compared pair by pair, so no link between components is lost, while a list of copies costs one
+comparison a member, and texts that merely share a passage cost none.
 
 A pair at similarity 0.75 has 48 equal coordinates of 64 on average; it has fewer than 30 with a
 probability below one in a million.
@@ -28,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobsignals.llm.common import (
@@ -40,7 +43,10 @@ SHINGLE = 5
 PERCENT = 75
 COORDINATES, MATCHES = 64, 30
 PREFIX = COORDINATES - MATCHES + 1
-HUB_ROUNDS = 2
+#: Hubs are tried as long as one comparison in so many gives a link, for so many rounds at most.
+FRUITLESS, HUB_ROUNDS = 10, 12
+#: 64-bit words of the bitmaps that rule pairs out before their sets are compared.
+BITMAP = 16
 
 
 def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
@@ -73,6 +79,14 @@ def signature(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (low >> U64(32)).astype("<u4")
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """The set hashed to bits: two sets differ in at least as many shingles as bits."""
+    at = mix(shingles) % U64(64 * BITMAP)
+    words = np.zeros(BITMAP, np.uint64)
+    np.bitwise_or.at(words, (at >> U64(6)).astype(np.int64), U64(1) << (at & U64(63)))
+    return words.view(np.int64)
+
+
 def signed(rows: DataFrame) -> DataFrame:
     """doc_id, th, n_shingles, node (name of the shingle set; null if empty) and postings."""
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,7 +123,8 @@ def classes(rows: DataFrame) -> DataFrame:
 def prefix_postings(reps: DataFrame) -> DataFrame:
     """(key, node, n_shingles) of the rarest coordinates that other classes share."""
     postings = reps.select("node", "n_shingles", F.explode("keys").alias("key"))
-    shared = postings.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
+    # Saved, so that a key many classes share is a plain shuffle that Spark can split.
+    shared = save(postings.groupBy("key").agg(F.count("*").alias("df")).where("df > 1"), "keys")
     mine = postings.join(shared, "key").groupBy("node").agg(
         F.first("n_shingles").alias("n_shingles"),
         F.sort_array(F.collect_list(F.struct("df", "key"))).alias("found"))  # 64 at most
@@ -121,19 +136,22 @@ def prefix_postings(reps: DataFrame) -> DataFrame:
 
 
 def needed_sets(rows: DataFrame, reps: DataFrame, postings: DataFrame) -> DataFrame:
-    """(node, shingles, keys) of the classes that have a prefix."""
+    """(node, shingles, keys, bits) of the classes that have a prefix."""
     wanted = reps.join(postings.select("node").distinct(), "node", "left_semi")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in parts:
-            sets = [s.tobytes() for s in shingle_sets(b.column("text"))]
+            sets = list(shingle_sets(b.column("text")))
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [b.column("node"), pa.array(sets, pa.binary()), b.column("keys")],
-                ["node", "shingles", "keys"])
+                [b.column("node"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                 b.column("keys"), pa.array([bitmap(x) for x in sets], pa.list_(pa.int64()))],
+                ["node", "shingles", "keys", "bits"])
 
     found = rows.join(wanted, same_row(rows, wanted)).select("node", rows["text"], "keys")
-    return found.mapInArrow(run, "node binary, shingles binary, keys array<long>"
-                            ).dropDuplicates(["node"])
+    return found.mapInArrow(run, "node binary, shingles array<long>, keys array<long>, "
+                                 "bits array<long>").dropDuplicates(["node"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -149,7 +167,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for b in parts:
             keep = []
             for i, (x, y) in enumerate(zip(b.column("sa"), b.column("sb"))):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                x, y = np.asarray(x.values), np.asarray(y.values)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 if 100 * both >= PERCENT * (len(x) + len(y) - both):
                     keep.append(i)
@@ -167,37 +185,70 @@ def with_labels(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     return postings.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def fits(small: str, large: str):
+def fits(small: str, large: str) -> Column:
     """Sets whose sizes alone allow the similarity."""
     return ((100 * F.least(small, large)) >= (PERCENT * F.greatest(small, large)))
 
 
-def open_lists(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Postings, with labels, of the lists that hold more than one component."""
-    rows = with_labels(postings, labels)
-    several = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")
-                                      ).where("low != high").select("key")
-    return save(rows.join(several, "key", "left_semi"), "lists")
+def open_lists(postings: DataFrame, labels: DataFrame | None, sets: DataFrame) -> DataFrame:
+    """Postings, with labels, of what may still be linked with another component.
+
+    `shared` is how many shingles of the member occur in other components of any list. With
+    the limit of 75 %, A and B are similar enough if 7 |A and B| >= 3 (|A| + |B|).
+    """
+    every = with_labels(postings, labels)
+    several = save(every.groupBy("key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"),
+        F.min("n_shingles").alias("least_size")).where("low != high")
+        .select("key", "least_size"), "keys")
+    rows = save(every.join(several, "key"), "lists")
+    nodes = rows.select("node", "label").distinct()
+    each = sets.join(nodes, "node").select("node", "label", F.explode("shingles").alias("shingle"))
+    common = save(each.groupBy("shingle").agg(
+        F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
+        .select("shingle"), "shared")
+    shared = each.join(common, "shingle").groupBy("node").agg(F.count("*").alias("shared"))
+    partner = F.greatest(F.col("n_shingles") * PERCENT / 100, "least_size")
+    return save(rows.join(shared, "node").where(enough("shared", "n_shingles", partner)), "open")
+
+
+def enough(overlap, size_a, size_b) -> Column:
+    overlap, size_a, size_b = (F.col(x) if isinstance(x, str) else x
+                               for x in (overlap, size_a, size_b))
+    return (100 + PERCENT) * overlap >= PERCENT * (size_a + size_b)
 
 
 def hub_pairs(lists: DataFrame, turn: int) -> DataFrame:
     """Every member with the hub of its list: the first in an order that all lists share."""
-    order = F.xxhash64("node", F.lit(turn))
-    hub = lists.groupBy("key").agg(
-        F.min(F.struct(order.alias("order"), "node", "label", "n_shingles")).alias("hub"))
+    order = [1 - F.col("shared") / F.col("n_shingles")] if turn == 0 else []
+    order = F.struct(*order, F.xxhash64("node", F.lit(turn)).alias("h"))
+    hub = save(lists.groupBy("key").agg(
+        F.min(F.struct(order.alias("order"), "node", "label", "n_shingles", "shared"))
+        .alias("hub")), "hubs")
     return (lists.join(hub, "key").where("label != hub.label")
             .where(fits("n_shingles", "hub.n_shingles"))
+            .where(enough(F.least("shared", "hub.shared"), "n_shingles", "hub.n_shingles"))
             .select(F.least("node", "hub.node").alias("a"),
                     F.greatest("node", "hub.node").alias("b")).distinct())
 
 
-def other_pairs(lists: DataFrame) -> DataFrame:
-    """Members of one list that are still in different components, each pair once."""
+def other_pairs(lists: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members of one list that are still in different components, each pair once.
+
+    Pairs whose bitmaps differ in more places than similar sets can are never made.
+    """
+    lists = lists.join(sets.select("node", "bits"), "node")
     left = lists.select("key", F.col("node").alias("a"), F.col("label").alias("la"),
-                        F.col("n_shingles").alias("na"))
+                        F.col("n_shingles").alias("na"), F.col("shared").alias("sa"),
+                        F.col("bits").alias("bits_a"))
     right = lists.select("key", F.col("node").alias("b"), F.col("label").alias("lb"),
-                         F.col("n_shingles").alias("nb"))
+                         F.col("n_shingles").alias("nb"), F.col("shared").alias("sb"),
+                         F.col("bits").alias("bits_b"))
+    differ = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i]))
+                  for i in range(BITMAP)), F.lit(0))
     return (left.join(right, "key").where("a < b AND la != lb").where(fits("na", "nb"))
+            .where(enough(F.least("sa", "sb"), "na", "nb"))
+            .where((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("na") + F.col("nb")))
             .select("a", "b").distinct())
 
 
@@ -208,15 +259,18 @@ def near_groups(docs: DataFrame) -> DataFrame:
     reps = save(classes(sigs), "classes")
     postings = save(prefix_postings(reps), "postings")
     sets = save(needed_sets(rows, reps, postings), "sets")
-    labels = None
-    for turn in range(HUB_ROUNDS + 1):
-        lists = open_lists(postings, labels)
-        if lists.isEmpty():
+    labels, turn, hubs = None, 0, True
+    while not (lists := open_lists(postings, labels, sets)).isEmpty():
+        pairs = save(hub_pairs(lists, turn) if hubs else other_pairs(lists, sets), "pairs")
+        links = save(confirmed(pairs, sets), "links")
+        labels = extend(labels, links)
+        if not hubs:
             break
-        pairs = hub_pairs(lists, turn) if turn < HUB_ROUNDS else other_pairs(lists)
-        labels = extend(labels, confirmed(pairs, sets))
+        turn += 1
+        n = pairs.count()
+        hubs = turn < HUB_ROUNDS and n > 0 and FRUITLESS * links.count() >= n
     named = with_labels(reps.select("node", "doc_id"), labels)
-    smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    smallest = save(named.groupBy("label").agg(F.min("doc_id").alias("component_id")), "smallest")
     of_class = named.join(smallest, "label").select("node", "label", "component_id")
     linked = sigs.join(of_class, "node", "left")
     return linked.select(

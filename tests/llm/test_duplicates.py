@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,6 +85,27 @@ def test_lists_that_hubs_do_not_settle(spark):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == near_components(rows)
 
 
+def test_bitmaps_never_differ_more_than_the_sets():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        pool = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+        a, b = (rng.choice(pool, rng.integers(1, 380), replace=False) for _ in range(2))
+        bits = [near_dedup.bitmap(x).view(np.uint8) for x in (a, b)]
+        assert np.unpackbits(bits[0] ^ bits[1]).sum() <= len(np.setxor1d(a, b))
+
+
+def test_signatures_estimate_similarity():
+    a, b = near_dedup.multipliers()
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 1 << 63, 1000, dtype=np.uint64)
+    equal = [(near_dedup.signature(pool[:875], a, b) == near_dedup.signature(pool[125:], a, b)).sum()]
+    for _ in range(60):
+        pool = rng.integers(0, 1 << 63, 1000, dtype=np.uint64)
+        equal.append((near_dedup.signature(pool[:875], a, b)
+                      == near_dedup.signature(pool[125:], a, b)).sum())
+    assert 46 < np.mean(equal) < 50 and min(equal) >= near_dedup.MATCHES
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(f"{i * 7919 % 1009:04d}", f"{(i + 1) * 7919 % 1009:04d}") for i in range(60)]
     edges += [("hub", f"leaf{i}") for i in range(50)]
