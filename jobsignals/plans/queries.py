@@ -377,16 +377,13 @@ def two_streams_ingest(spark, sf_dir):
 
 @query
 def batch_ingest(spark, sf_dir):
-    """Threads stay pending until their last page has landed; a third run finds nothing to do."""
+    """Pages land in two drops; threads stay pending until their last page has landed."""
     root = until_exit(spark, "batch")
     threads = derived.threads(spark, sf_dir)
-    first, second = _drops(derived.forum_pages(spark, sf_dir))
-    first.write.parquet(f"{root}/landing")
-    for late in (second, None, None):
+    for drop in _drops(derived.forum_pages(spark, sf_dir)):
+        drop.write.mode("append").parquet(f"{root}/landing")
         ingest_batch(spark, threads, spark.read.schema(PAGES).parquet(f"{root}/landing"),
                      f"{root}/comments", f"{root}/processed", THREADS_SINCE, derived.FORUM)
-        if late is not None:
-            late.write.mode("append").parquet(f"{root}/landing")
     return read_comments(spark, f"{root}/comments").select(*COMMENTS.names)
 
 
