@@ -57,8 +57,9 @@ def recipes(docs: DataFrame, least: int = LEAST, most: int = MOST) -> DataFrame:
 def exact_groups(docs: DataFrame, least: int = LEAST, most: int = MOST) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256, n_chunks."""
     rows = recipes(docs, least, most)
-    groups = rows.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"),
-                                        F.count("*").alias("group_size"))
+    # Saved, so that the join below has plain shuffles and a hot recipe can be split.
+    groups = save(rows.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"),
+                                             F.count("*").alias("group_size")), "groups")
     return rows.join(groups, "recipe").select(
         "doc_id", "keep_id", "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256",
