@@ -139,7 +139,9 @@ def host_verdicts(rows: DataFrame) -> DataFrame:
 
 def judged(rows: DataFrame) -> DataFrame:
     """Measured rows with their host's rate and verdict, base_failed and kept."""
-    hosts = host_verdicts(rows).select(F.col("source").alias("host"), "host_rate", "verdict")
+    # Saved, so that its measured size decides how it is joined, and a hot host can be split.
+    hosts = save(host_verdicts(rows).select(
+        F.col("source").alias("host"), "host_rate", "verdict"), "hosts")
     failed = F.when(F.col("verdict") == "doubtful", rules_failed(True)).otherwise(
         rules_failed(False))
     return (rows.join(hosts, F.col("source").eqNullSafe(F.col("host")))
