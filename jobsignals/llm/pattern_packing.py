@@ -1,7 +1,7 @@
 """Best-fit packing with patterns of lengths fitted by non-negative least squares.
 
 Documents are tokenised where they lie; only lengths are gathered, as a histogram of at most
-`max_tokens` counts. On it the driver plans: length classes, patterns of up to four classes that
+`max_tokens` counts. On it the driver plans: length classes, patterns of two or three classes that
 fill a sequence, repeat counts fitted to the class histogram by non-negative least squares and
 rounded down, then the documents left over by best fit, longest first, also into the gaps the
 patterns leave. The plan says how many documents of a length go where; its size depends on
@@ -28,9 +28,10 @@ from jobsignals.llm.tokens import WordTokens, default_tokenizer, token_batches
 
 MAX_TOKENS = 4096
 CLASSES = 64
-PATTERN_DOCS = 4
+#: Largest patterns tried; the plan with the fewest sequences is taken.
+PATTERN_DOCS = (3, 2)
 #: Documents of one length ranked together.
-BUCKET_ROWS = 500
+BUCKET_ROWS = 100
 
 
 def pieces(docs: DataFrame, max_tokens: int = MAX_TOKENS, tokenizer: str | None = None) -> DataFrame:
@@ -124,7 +125,7 @@ class Plan:
 
 
 def plan_patterns(histogram: dict[int, int], max_tokens: int = MAX_TOKENS,
-                  classes: int = CLASSES, most: int = PATTERN_DOCS) -> Plan:
+                  classes: int = CLASSES, most: int = PATTERN_DOCS[0]) -> Plan:
     """Patterns by least squares, then the rest by best fit, longest first."""
     classes = min(classes, max_tokens)
     left = np.zeros(max_tokens + 1, np.int64)
@@ -206,6 +207,11 @@ def plan_patterns(histogram: dict[int, int], max_tokens: int = MAX_TOKENS,
     return plan
 
 
+def best_plan(histogram: dict[int, int], max_tokens: int = MAX_TOKENS) -> Plan:
+    return min((plan_patterns(histogram, max_tokens, most=k) for k in PATTERN_DOCS),
+               key=lambda plan: plan.sequences)
+
+
 def ranked(parts: DataFrame, histogram: DataFrame) -> DataFrame:
     """Pieces with their rank (from 0) among those of the same length."""
     buckets = histogram.select(
@@ -231,7 +237,7 @@ def pack(docs: DataFrame, max_tokens: int = MAX_TOKENS, tokenizer: str | None =
     parts = save(pieces(docs, max_tokens, tokenizer), "pieces")
     histogram = parts.groupBy("length").agg(F.count("*").alias("n"))
     counts = {r.length: r.n for r in histogram.collect()}  # at most max_tokens rows
-    places = plan_patterns(counts, max_tokens).places() if counts else {}
+    places = best_plan(counts, max_tokens).places() if counts else {}
     spark = docs.sparkSession
     small = spark.createDataFrame([(k, v) for k, v in counts.items()], "length long, n long")
     shared = spark.sparkContext.broadcast(places)
