@@ -27,7 +27,7 @@ from jobsignals.llm.tokens import WordTokens, default_tokenizer, token_batches
 from jobsignals.session import until_exit
 
 MAX_TOKENS = 4096
-BLOCK_TOKENS = 4 << 20
+BLOCK_TOKENS = 2 << 20
 #: Sequences of a task are numbered from here on.
 TASK_SEQUENCES = 1 << 36
 
@@ -105,9 +105,9 @@ def packed(docs: DataFrame, max_tokens: int = MAX_TOKENS, tokenizer: str | None
         def close(found: list[tuple]) -> Iterator[pa.RecordBatch]:
             nonlocal number
             plan = best_fit_decreasing([len(x[3]) for x in found], max_tokens)
-            for k in range(0, len(plan), 256):
+            for k in range(0, len(plan), 64):
                 rows = []
-                for places in plan[k:k + 256]:
+                for places in plan[k:k + 64]:
                     size = [len(found[i][3]) for i in places]
                     rows.append((
                         number, sum(size),
@@ -140,7 +140,8 @@ def packed(docs: DataFrame, max_tokens: int = MAX_TOKENS, tokenizer: str | None
 def write_packed(docs: DataFrame, path: str, max_tokens: int = MAX_TOKENS,
                  tokenizer: str | None = None) -> None:
     """Write the packed sequences as Parquet; zstd finds the repeated positions."""
-    packed(docs, max_tokens, tokenizer).write.option("compression", "zstd").parquet(path)
+    (packed(docs, max_tokens, tokenizer).write.option("compression", "zstd")
+     .option("parquet.block.size", 16 << 20).parquet(path))
 
 
 def read_packed(spark: SparkSession, path: str) -> DataFrame:

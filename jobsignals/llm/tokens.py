@@ -14,7 +14,7 @@ from jobsignals.llm.common import batches, strings, word_lists
 #: The id that ends every document.
 END_ID = 1
 #: Words kept by a worker; the memory of a worker stays bounded, the ids are the same.
-MOST_WORDS = 300_000
+MOST_WORDS = 200_000
 #: Latin letters, then punctuation that no rule of the tokenizer joins with letters.
 SIMPLE = r"^(?P<core>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-&(-/:-@\[-`{-~]*)$"
 
