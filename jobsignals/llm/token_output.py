@@ -20,7 +20,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from jobsignals.llm.common import doc_rows
 from jobsignals.llm.tokens import WordTokens, default_tokenizer, token_batches
