@@ -5,7 +5,9 @@ elements and classes that lead to it. A container's presentation importance is t
 child styles it shows across pages, a block's content importance falls with the share of pages
 that repeat its texts: one minus the mean, over its distinct texts, of log(pages with the text) to
 the base of the pages with the node. Blocks of low composite importance (advert slots, notices,
-link lists) are removed from each page, as is what its markup declares to be no article.
+link lists) are removed from each page, as is what its markup declares to be no article. Classes
+and ids only hint at it (see `settle_hints`): a part of one lowers the importance in the tree, a
+whole one takes a branch that has no more than half of the text. No page with text is emptied by that.
 
 The tree is counted in Spark: one row per page, node and text, combined before it moves, so a host
 that holds a third of all pages is as good as any. Identical pages count once. Verdicts name at
@@ -31,6 +33,8 @@ HOST = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 #: Share of a block's composite importance that its own content has.
 CONTENT = 0.9
 LOW = 0.5
+#: What a hint in a class or id takes off a block's importance.
+HINTED = 0.25
 MIN_PAGES, MIN_SHARE = 5, 0.01
 
 
@@ -44,7 +48,10 @@ def page_rows(pages: DataFrame) -> DataFrame:
 
 
 def observations(rows: DataFrame) -> DataFrame:
-    """host, node, above, kind ('page', 'text', 'style'), value, page: what a page shows."""
+    """host, node, above, kind ('page', 'text', 'style'), value, page: what a page shows.
+
+    The value of a node on a page is 1 if a class or id hints that all its blocks are no article.
+    """
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest
 
@@ -59,10 +66,14 @@ def observations(rows: DataFrame) -> DataFrame:
                 key = number(page)
                 found, children = blocks(page)
                 mine = {(0, 0, "page", 0)}
+                hinted: dict[tuple[int, int], int] = {}
                 for x in found:
                     if not x.noise:
-                        mine.add((x.node, x.parent, "page", 0))
-                        mine.add((x.node, x.parent, "text", number(x.text)))
+                        at = x.node, x.parent
+                        hinted[at] = min(hinted.get(at, 1), int(x.hint > 0))
+                        mine.add((*at, "text", number(x.text)))
+                # Text outside every block is at node 0, which has its row.
+                mine.update((*at, "page", h) for at, h in hinted.items() if at[0])
                 for node, labels in children.items():
                     mine.add((node, node, "style", number(" ".join(sorted(labels)))))
                 out += [(host, *m, key) for m in mine]
@@ -83,7 +94,8 @@ def low_nodes(rows: DataFrame) -> DataFrame:
               .agg(F.min("above").alias("above"), F.count("*").alias("c")))
     page, text, style = (F.col("kind") == k for k in ("page", "text", "style"))
     nodes = save(counts.groupBy("host", "node").agg(
-        F.max(F.when(page, F.col("c"))).alias("pages"),
+        F.sum(F.when(page, F.col("c"))).alias("pages"),
+        F.sum(F.when(page & (F.col("value") == 1), F.col("c"))).alias("hinted"),
         F.min(F.when(page, F.col("above"))).alias("above"),
         F.avg(F.when(text, F.log("c"))).alias("repeat"),
         F.sum(F.when(style, F.col("c"))).alias("shown"),
@@ -96,7 +108,8 @@ def low_nodes(rows: DataFrame) -> DataFrame:
     leaves = nodes.where(f"repeat IS NOT NULL AND pages >= {MIN_PAGES}").drop("shown")
     judged = leaves.join(hosts, "host").join(spread, ["host", "above"], "left").withColumn(
         "importance", CONTENT * (1 - F.col("repeat") / F.log("pages"))
-        + (1 - CONTENT) * F.coalesce("presentation", F.lit(1.0)))
+        + (1 - CONTENT) * F.coalesce("presentation", F.lit(1.0))
+        - HINTED * F.coalesce("hinted", F.lit(0)) / F.col("pages"))
     low = judged.where((F.col("importance") < LOW)
                        & (F.col("pages") >= MIN_SHARE * F.col("host_pages")))
     return low.groupBy("host").agg(F.array_sort(F.collect_set("node")).alias("low"))

@@ -175,6 +175,45 @@ def test_odd_markup(page, want):
     assert texts(page) == want
 
 
+STORY = "<h1>Title</h1><p>The story begins here and goes on.</p><p>The story ends here.</p>"
+TOLD = ["Title", "The story begins here and goes on.", "The story ends here."]
+
+
+@pytest.mark.parametrize("open_tag", [
+    '<div class="page has-sidebar">', '<div class="search-results">', '<div class="content menu-open">',
+    '<div id="search">', '<div class="content widget">', "<form>"])
+def test_a_hint_never_takes_the_story(open_tag):
+    close = "</form>" if open_tag == "<form>" else "</div>"
+    ad = '<div class="ad">Buy this</div>'
+    assert texts(f"<nav>n</nav>{open_tag}{STORY}{ad}{close}<footer>f</footer>") == TOLD
+    assert texts(f"<article>{open_tag}{STORY}{ad}{close}</article><p>{'other ' * 99}</p>") == TOLD
+
+
+def test_hints_and_noise_of_small_branches():
+    title = '<article><div class="entry-header"><h1>Title</h1></div><p>Story.</p></article>'
+    assert texts(title) == ["Title", "Story."]
+    # Each widget is small, all of them are the page.
+    widgets = "".join(f'<div class="widget"><p>Part {i} of it.</p></div>' for i in range(9))
+    assert len(texts(widgets + "<p>x</p>")) == 10
+    # Text that is only in a header, in links or in a label is the page's text; a menu's is not.
+    assert texts("<header>Only this</header><nav>n</nav>") == ["Only this"]
+    assert texts("<div><a href=a>Only this</a></div><aside>s</aside>") == ["Only this"]
+    assert texts("<nav>n</nav><footer>f</footer><div hidden>h</div>") == []
+    assert texts('<div class="ad">' * 20000 + "deep") == ["deep"]
+
+
+def test_a_hint_lowers_importance(spark):
+    """Two blocks that repeat alike: only the one with a hint in its class is removed."""
+    rows = [(i, "http://h.org/%d" % i, "".join(
+        f'<div class="{c}"><p class="{c}">say {c} {i % 20}</p></div>' for c in ("latest-widget", "latest-news"))
+        + f"<p>Story {i} is a long one that no other page of the host tells.</p>") for i in range(40)]
+    got = {r.page_id: r.text for r in site_style.main_text(pages_of(spark, rows)).collect()}
+    assert "latest-news" in got[0] and "Story 0" in got[0]
+    rows = [(i, u, h.replace(f"{i % 20}</p>", f"{i % 8}</p>")) for i, u, h in rows]
+    got = {r.page_id: r.text for r in site_style.main_text(pages_of(spark, rows)).collect()}
+    assert "latest-news" in got[0] and "latest-widget" not in got[0] and "Story 0" in got[0]
+
+
 def pages_of(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string")
 
