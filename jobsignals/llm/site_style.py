@@ -10,9 +10,10 @@ and ids only hint at it (see `settle_hints`): a part of one lowers the importanc
 whole one takes a branch that has no more than half of the text. No page with text is emptied by that.
 
 The tree is counted in Spark: one row per page, node and text, combined before it moves, so a host
-that holds a third of all pages is as good as any. Identical pages count once. Verdicts name at
-most the low nodes that show on a hundredth of a host's pages, so their number per host is bounded
-by a hundred times the blocks of a page.
+that holds a third of all pages is as good as any. Identical pages count once. Verdicts reach the
+pages by two ways with the same result. Low nodes on a hundredth of a host's pages or more come as one
+list per host, bounded by a hundred times the blocks of a page. All rarer ones are joined to the
+nodes that each page shows, and come as one list per page.
 
 Defined cases: null html gives the empty text. A null url or one without a host shares the host
 ''. Repeated rows are extracted each. An empty table gives no rows. Nothing is cut off.
@@ -35,7 +36,9 @@ CONTENT = 0.9
 LOW = 0.5
 #: What a hint in a class or id takes off a block's importance.
 HINTED = 0.25
-MIN_PAGES, MIN_SHARE = 5, 0.01
+MIN_PAGES = 5
+#: Share of a host's pages from which on a low node is in the host's list; it decides no result.
+LISTED = 0.01
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
@@ -44,7 +47,8 @@ def page_rows(pages: DataFrame) -> DataFrame:
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), HOST, 1)
                 ).alias("host"),
-        F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
+        F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")
+    ).withColumn("page", F.xxhash64("html"))
 
 
 def observations(rows: DataFrame) -> DataFrame:
@@ -61,10 +65,9 @@ def observations(rows: DataFrame) -> DataFrame:
         names = ["host", "node", "above", "kind", "value", "page"]
         for b in parts:
             out = []
-            for host, page in zip(b.column("host").to_pylist(), b.column("html")):
-                page = page.as_py()
-                key = number(page)
-                found, children = blocks(page)
+            for host, page, key in zip(b.column("host").to_pylist(), b.column("html"),
+                                       b.column("page").to_pylist()):
+                found, children = blocks(page.as_py())
                 mine = {(0, 0, "page", 0)}
                 hinted: dict[tuple[int, int], int] = {}
                 for x in found:
@@ -83,12 +86,12 @@ def observations(rows: DataFrame) -> DataFrame:
                     [pa.array(c, pa.string() if n in ("host", "kind") else pa.int64())
                      for n, c in zip(names, columns)], names)
 
-    return rows.select("host", "html").mapInArrow(
+    return rows.select("host", "html", "page").mapInArrow(
         run, "host string, node long, above long, kind string, value long, page long")
 
 
 def low_nodes(rows: DataFrame) -> DataFrame:
-    """host and the sorted nodes of its blocks of low importance."""
+    """host, node and listed of the blocks of low importance: whether many of its pages show it."""
     counts = (observations(rows).distinct()
               .groupBy("host", "node", "kind", "value")
               .agg(F.min("above").alias("above"), F.count("*").alias("c")))
@@ -110,26 +113,53 @@ def low_nodes(rows: DataFrame) -> DataFrame:
         "importance", CONTENT * (1 - F.col("repeat") / F.log("pages"))
         + (1 - CONTENT) * F.coalesce("presentation", F.lit(1.0))
         - HINTED * F.coalesce("hinted", F.lit(0)) / F.col("pages"))
-    low = judged.where((F.col("importance") < LOW)
-                       & (F.col("pages") >= MIN_SHARE * F.col("host_pages")))
-    return low.groupBy("host").agg(F.array_sort(F.collect_set("node")).alias("low"))
+    return judged.where(F.col("importance") < LOW).select(
+        "host", "node", (F.col("pages") >= LISTED * F.col("host_pages")).alias("listed"))
+
+
+def shown_nodes(rows: DataFrame) -> DataFrame:
+    """host, page, node: the nodes of every page that hold text."""
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in parts:
+            nodes = [sorted({x.node for x in blocks(page.as_py())[0] if not x.noise})
+                     for page in b.column("html")]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("host"), b.column("page"), pa.array(nodes, pa.list_(pa.int64()))],
+                ["host", "page", "nodes"])
+
+    return rows.select("host", "page", "html").mapInArrow(
+        run, "host string, page long, nodes array<long>").select(
+            "host", "page", F.explode("nodes").alias("node"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
     rows = page_rows(pages)
-    # Saved, so that its measured size decides whether the join moves the pages.
-    low = save(low_nodes(rows), "low").withColumnRenamed("host", "of_host")
+    low = save(low_nodes(rows), "low")
+    # Saved, so that their measured sizes decide whether the joins move the pages.
+    listed = save(low.where("listed").groupBy("host").agg(F.collect_set("node").alias("low")),
+                  "listed").withColumnRenamed("host", "of_host")
+    joined = rows.join(listed, rows["host"] == listed["of_host"], "left")
+    rare = low.where("NOT listed").select("host", "node")
+    if rare.isEmpty():
+        joined = joined.withColumn("own", F.lit(None).cast("array<long>"))
+    else:
+        own = save(shown_nodes(rows).join(rare, ["host", "node"]).groupBy("host", "page").agg(
+            F.collect_set("node").alias("own")), "own").withColumnsRenamed(
+                {"host": "own_host", "page": "own_page"})
+        joined = joined.join(own, (F.col("host") == own["own_host"])
+                             & (F.col("page") == own["own_page"]), "left")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in parts:
-            texts = ["\n\n".join(x.text for x in main_blocks(page.as_py(), frozenset(low or ())))
-                     for page, low in zip(b.column("html"), b.column("low").to_pylist())]
+            texts = ["\n\n".join(x.text for x in main_blocks(
+                         page.as_py(), frozenset(low or ()).union(own or ())))
+                     for page, low, own in zip(b.column("html"), b.column("low").to_pylist(),
+                                               b.column("own").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [b.column("page_id"), b.column("url"), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"])
 
-    joined = rows.join(low, rows["host"] == low["of_host"], "left")
-    return joined.select("page_id", "url", "html", "low").mapInArrow(
+    return joined.select("page_id", "url", "html", "low", "own").mapInArrow(
         run, "page_id long, url string, text string, n_chars long")

@@ -238,6 +238,20 @@ def test_repeated_branches_are_removed(spark):
     assert site_style.main_text(docs.where("false")).isEmpty()
 
 
+def test_rare_branches_of_a_large_host_are_removed(spark):
+    """A block on 6 pages is judged alike whether its host has 30 pages or 1,000."""
+    def page(i, tip):
+        return (f"<div class=box><p>{tip}</p></div>" if tip else "") + (
+            f"<div class=story><p>Story {i} begins.</p><p>Story {i} ends.</p></div>")
+
+    rows = [(n * 10000 + i, f"http://h{n}.org/{i}", page(i, "Same words" if i < 6 else ""))
+            for n in (30, 1000) for i in range(n)]
+    rows += [(None, "http://h1000.org/copy", page(3, "Same words"))]
+    got = Counter((r.page_id, r.text) for r in site_style.main_text(pages_of(spark, rows)).collect())
+    assert got == Counter((p, f"Story {int(i)} begins.\n\nStory {int(i)} ends.") for p, i in [
+        *((p, p % 10000) for p, _, _ in rows[:-1]), (None, 3)])
+
+
 def test_pages_of_the_table(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     got = {r.page_id: r.text for r in site_style.main_text(pages).collect()}
