@@ -29,9 +29,8 @@ def ingest_batch(spark: SparkSession, threads: DataFrame, pages: DataFrame, stor
     that dies in between is repeated and rewrites the same partitions.
     """
     pending = pending_threads(threads, read_processed(spark, processed), since, reopen_newest)
-    # Pages of old threads are left out by the scan; those without a date are looked at.
-    recent = pages.filter((F.col("thread_date") >= since) | F.col("thread_date").isNull())
-    wanted = recent.join(pending.select(F.col("id").alias("page_key")), "page_key", "left_semi")
+    # The thread list alone decides about `since`: a page's own date may be blank or another.
+    wanted = pages.join(pending.select(F.col("id").alias("page_key")), "page_key", "left_semi")
     with temporary(spark, "complete") as path:
         complete_threads(wanted).write.parquet(path)
         write_thread_comments(parse_comments(wanted, base_url, keep_page=True), store)

@@ -263,6 +263,19 @@ def test_threads_stay_pending_until_all_pages_landed(spark, tmp_path):
     assert marked == {"empty", "whole", "late", "gap"} and {"c1", "c2", "c3"} <= ids
 
 
+def test_the_thread_list_alone_decides_about_since(spark, tmp_path):
+    """Pages of a recent thread count whatever date they carry; those of an old one never do."""
+    store, done = str(tmp_path / "s"), str(tmp_path / "d")
+    threads = spark.createDataFrame([("new", "x", "2023-01-01", "u"), ("old", "x", "2019-01-01", "u")],
+                                    THREADS)
+    landed = [page("new", no, f"n{no}", more=no < 4, date=date)
+              for no, date in enumerate(["2023-01-01", "", None, "1 Jan 2023", "2019-12-31"])]
+    landed += [page("old", 0, "o0", date="2023-01-01"), page("old", 1, "o1", date="")]
+    ingest_batch(spark, threads, spark.createDataFrame(landed, PAGES), store, done)
+    assert {r.id for r in tables.read_comments(spark, store).collect()} == {"n0", "n1", "n2", "n3", "n4"}
+    assert {r.id for r in state.read_processed(spark, done).collect()} == {"new"}
+
+
 def test_old_pages_are_left_out_by_the_scan(spark, tmp_path):
     spark.createDataFrame([page("t", 0, "a")], PAGES).write.parquet(str(tmp_path / "landing"))
     landed = spark.read.schema(PAGES).parquet(str(tmp_path / "landing"))
