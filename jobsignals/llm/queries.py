@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from jobsignals.llm import (
-    exact_dedup, lattice_lm, mixing, near_dedup, pattern_packing, private, quality_rules,
+    conversation_trie, exact_dedup, lattice_lm, mixing, near_dedup, pattern_packing, private, quality_rules,
     site_style, substring_dedup, token_output,
 )
 from jobsignals.llm.common import table
@@ -72,6 +72,11 @@ def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score_texts(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie_report(table(spark, sf_dir, "conversations"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

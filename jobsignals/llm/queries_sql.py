@@ -6,7 +6,9 @@ queries with plain versions instead.
 
 from __future__ import annotations
 
-from jobsignals.llm import mixing, near_dedup, quality_rules, substring_dedup
+from jobsignals.llm import (
+    conversation_trie, mixing, near_dedup, quality_rules, substring_dedup,
+)
 
 WORD = r"[^\x20\x09-\x0D]+"
 LOWER = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
@@ -171,7 +173,68 @@ SELECT doc_id, source, block::BIGINT AS block, start, n_tokens, round(weight, 6)
 FROM o WHERE block < whole OR start < rest
 """
 
+
+def _crc_table() -> list[int]:
+    """CRC-32 (reflected polynomial 0xEDB88320) of every byte value, built by its rule."""
+    table = []
+    for byte in range(256):
+        c = byte
+        for _ in range(8):
+            c = (c >> 1) ^ (0xEDB88320 if c & 1 else 0)
+        table.append(c)
+    return table
+
+
+def crc32(decimal: str) -> str:
+    """DuckDB expression: unsigned CRC-32 of an ASCII string expression."""
+    table = "[" + ", ".join(map(str, _crc_table())) + "]::BIGINT[]"
+    return (f"xor(list_reduce(list_transform(string_split({decimal}, ''), lambda ch: ascii(ch)), "
+            f"lambda acc, x: xor(({table})[(xor(acc, x::BIGINT) & 255) + 1], acc >> 8), "
+            f"4294967295::BIGINT), 4294967295::BIGINT)")
+
+
+TRIE = rf"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                            coalesce(text, '')) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (
+  SELECT c, {crc32("c::VARCHAR")} % {conversation_trie.HEADS} AS h,
+         c - c % {conversation_trie.GROUP} AS b
+  FROM (SELECT DISTINCT conv_id AS c FROM t)),
+r AS (
+  SELECT ids.c, 0 AS part, t.pos, t.role, t.text FROM ids JOIN t ON t.conv_id = ids.b AND t.pos < ids.h
+  UNION ALL
+  SELECT ids.c, 1, t.pos, t.role, t.text FROM ids JOIN t ON t.conv_id = ids.c AND t.pos >= ids.h),
+seq AS (
+  SELECT ids.c, coalesce(list(struct_pack(role := r.role, text := r.text) ORDER BY r.part, r.pos)
+                         FILTER (WHERE r.pos IS NOT NULL), []) AS turns
+  FROM ids LEFT JOIN r ON r.c = ids.c GROUP BY ids.c),
+m AS (
+  SELECT c, d, turns[1:d] AS p, len(turns) AS l,
+         CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(turns[d].text, '{WORD}')) END AS w,
+         CASE WHEN len(turns) > d THEN turns[d + 1] END AS nxt
+  FROM (SELECT c, turns, unnest(range(len(turns) + 1)) AS d FROM seq)),
+node AS (
+  SELECT p, any_value(d)::BIGINT AS depth, min(c)::BIGINT AS conv_id, count(*)::BIGINT AS n_convs,
+         any_value(w)::BIGINT AS w, count(DISTINCT nxt)::BIGINT AS n_children,
+         coalesce(sha256(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE l = d)),
+                  sha256('')) AS ends_sha256
+  FROM m GROUP BY p),
+up AS (
+  SELECT p[1:j] AS a, own, leaf FROM (
+    SELECT p, (n_convs - 1) * w AS own, (n_children = 0)::BIGINT AS leaf,
+           unnest(range(depth + 1)) AS j FROM node)),
+sub AS (SELECT a, sum(own)::BIGINT AS saved_tokens, sum(leaf)::BIGINT AS n_leaves FROM up GROUP BY a)
+SELECT node.conv_id, node.depth, par.conv_id AS parent_conv_id, node.n_convs, node.n_children,
+       sub.n_leaves, sub.saved_tokens, node.ends_sha256
+FROM node JOIN sub ON sub.a = node.p
+LEFT JOIN node AS par ON node.depth > 0 AND par.p = node.p[1:node.depth - 1]
+"""
+
 ORACLES: dict[str, str] = {
     "op2_quality_rules": QUALITY, "op4_substring_dedup": SUBSTRINGS,
     "op5_temperature_mixing": MIX, "op6_minhash_near_dedup": NEAR, "op9_exact_dedup": EXACT,
+    "op11_conversation_trie": TRIE,
 }
