@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from jobsignals.llm import (
-    conversation_trie, exact_dedup, lattice_lm, mixing, near_dedup, pattern_packing, private, quality_rules,
+    conversation_trie, exact_dedup, hard_negatives, lattice_lm, mixing, near_dedup, pattern_packing, private, quality_rules,
     site_style, substring_dedup, token_output,
 )
 from jobsignals.llm.common import table
@@ -77,6 +77,11 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.trie_report(table(spark, sf_dir, "conversations"))
 
 
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

@@ -7,7 +7,7 @@ queries with plain versions instead.
 from __future__ import annotations
 
 from jobsignals.llm import (
-    conversation_trie, mixing, near_dedup, quality_rules, substring_dedup,
+    conversation_trie, hard_negatives, mixing, near_dedup, quality_rules, substring_dedup,
 )
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -233,8 +233,43 @@ FROM node JOIN sub ON sub.a = node.p
 LEFT JOIN node AS par ON node.depth > 0 AND par.p = node.p[1:node.depth - 1]
 """
 
+NEGATIVES = rf"""
+WITH e AS (
+  SELECT vec_id::BIGINT AS vec_id,
+         CASE WHEN vec_id % {hard_negatives.RELABEL_EVERY} = 0
+              THEN (label::BIGINT + 1) % {hard_negatives.LABELS} ELSE label::BIGINT END AS label,
+         list_transform(embedding, lambda x: floor(x::DOUBLE * {hard_negatives.SCALE})::BIGINT) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(embedding) <= {hard_negatives.MOST_DIMS}
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x)
+                        OR NOT abs(x::DOUBLE * {hard_negatives.SCALE}) < {hard_negatives.MOST_COMPONENT})) = 0),
+v AS (SELECT vec_id, min(struct_pack(label := label, q := q)) AS r FROM e GROUP BY vec_id),
+w AS (SELECT vec_id, r.label AS label, r.q AS q FROM v),
+a AS (SELECT vec_id AS anchor_id, label AS al, q AS aq FROM w WHERE vec_id % {hard_negatives.ANCHOR_EVERY} = 0),
+s AS (
+  SELECT anchor_id, al, w.vec_id, w.label,
+         coalesce(list_sum(list_transform(range(1, least(len(aq), len(q)) + 1),
+                                          lambda i: aq[i] * q[i])), 0)::BIGINT AS score
+  FROM a JOIN w ON w.vec_id <> a.anchor_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS r
+    FROM s WHERE label = al) WHERE r <= {hard_negatives.POSITIVES}),
+n AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id,
+         s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id
+                            ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> s.al
+  WHERE {hard_negatives.LOW} * p.positive_score <= 100 * s.score
+    AND 100 * s.score <= {hard_negatives.HIGH} * p.positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= {hard_negatives.NEGATIVES}
+"""
+
 ORACLES: dict[str, str] = {
     "op2_quality_rules": QUALITY, "op4_substring_dedup": SUBSTRINGS,
     "op5_temperature_mixing": MIX, "op6_minhash_near_dedup": NEAR, "op9_exact_dedup": EXACT,
-    "op11_conversation_trie": TRIE,
+    "op11_conversation_trie": TRIE, "op12_hard_negatives": NEGATIVES,
 }
