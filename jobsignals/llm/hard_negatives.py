@@ -173,7 +173,7 @@ def mine(embeddings: DataFrame, row_block: int = ROW_BLOCK,
     primes = primes_for(dims * int(facts.most) ** 2)
     n_rows = max(1, -(-facts.n // row_block))
     n_anchors = max(1, -(-facts.anchors // anchor_block))
-    dealt = rows.select("*", F.pmod(F.xxhash64("vec_id"), F.lit(n_rows)).alias("rb"),
+    dealt = rows.select("*", F.pmod(F.xxhash64("vec_id"), F.lit(n_rows)).cast("int").alias("rb"),
                         F.explode(F.sequence(F.lit(0), F.lit(n_anchors - 1))).alias("ab"))
     anchors = rows.where(F.col("vec_id") % ANCHOR_EVERY == 0)
 
@@ -185,7 +185,7 @@ def mine(embeddings: DataFrame, row_block: int = ROW_BLOCK,
                 a["vec_id"] == F.col("anchor_id"))
         # new names, so that the two sides of the co-group share no column of `rows`
         a = a.select(*(F.col(c).alias(c) for c in a.columns),
-                     F.pmod(F.xxhash64("vec_id"), F.lit(n_anchors)).alias("ab"),
+                     F.pmod(F.xxhash64("vec_id"), F.lit(n_anchors)).cast("int").alias("ab"),
                      F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1))).alias("rb"))
 
         second = positives is not None  # the task must not hold the frame itself
