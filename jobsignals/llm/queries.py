@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from jobsignals.llm import (
-    conversation_trie, exact_dedup, hard_negatives, lattice_lm, mixing, near_dedup, pattern_packing, private, quality_rules,
+    conversation_trie, exact_dedup, hard_negatives, quality_cnn, lattice_lm, mixing, near_dedup, pattern_packing, private, quality_rules,
     site_style, substring_dedup, token_output,
 )
 from jobsignals.llm.common import table
@@ -82,6 +82,11 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op13_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_cnn.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
