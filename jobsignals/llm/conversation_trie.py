@@ -38,10 +38,13 @@ GROUP = 20
 #: ... taking at most HEADS - 1 of its first turns.
 HEADS = 4
 ROOT = bytes(16)
+#: Stands for "none" in binary columns of the sweep (keys are 16 bytes), as Arrow cannot take
+#: a column of None alone.
+NONE = b""
 
 NODE_SCHEMA = ("kind string, key binary, parent_key binary, depth long, n_convs long, "
                "conv_id long, n_children long, n_leaves long, saved_tokens long, "
-               "child binary, words long, path array<binary>")
+               "child binary, words long, path binary")
 
 
 def turn_rows(conversations: DataFrame) -> DataFrame:
@@ -114,7 +117,7 @@ def _close(node: list, stack: list, out: list) -> None:
     depth, key, parent, n, least, children, leaves, saved, words = node
     saved += (n - 1) * words
     leaves = leaves if children else 1
-    out.append(("node", key, parent, depth, n, least, children, leaves, saved, None, words, None))
+    out.append(("node", key, parent, depth, n, least, children, leaves, saved, NONE, words, NONE))
     if stack:
         up = stack[-1]
         up[3] += n
@@ -134,9 +137,9 @@ def _sweep(frame: pd.DataFrame) -> pd.DataFrame:
     if bool(frame["terminal"].iloc[0]):  # one conversation that ends at a burst node
         pk, _, mult, least = rows[0]
         for j in range(k + 1):
-            out.append(("part", path[j], path[j - 1] if j else None, j, int(mult), int(least), 0,
-                        0, 0, path[j + 1] if j < k else None, int(words[j - 1]) if j else 0,
-                        path[:j + 1]))
+            out.append(("part", path[j], path[j - 1] if j else NONE, j, int(mult), int(least), 0,
+                        0, 0, path[j + 1] if j < k else NONE, int(words[j - 1]) if j else 0,
+                        b"".join(path[:j + 1])))
     else:
         stack: list = []
         previous = None
@@ -158,7 +161,7 @@ def _sweep(frame: pd.DataFrame) -> pd.DataFrame:
             for d in range(shared + 1, length + 1):
                 if stack:
                     stack[-1][5] += 1
-                stack.append([d, pk[d], pk[d - 1] if d else None, 0, 1 << 62, 0, 0, 0,
+                stack.append([d, pk[d], pk[d - 1] if d else NONE, 0, 1 << 62, 0, 0, 0,
                               int(ws[d - 1]) if d else 0])
             stack[-1][3] += int(mult)
             stack[-1][4] = min(stack[-1][4], int(least))
@@ -170,8 +173,9 @@ def _sweep(frame: pd.DataFrame) -> pd.DataFrame:
                 head = node
         _, _, _, n, least, _, leaves, saved, _ = head
         for j in range(k):
-            out.append(("part", path[j], path[j - 1] if j else None, j, n, least, 0, leaves,
-                        saved, path[j + 1], int(words[j - 1]) if j else 0, path[:j + 1]))
+            out.append(("part", path[j], path[j - 1] if j else NONE, j, n, least, 0, leaves,
+                        saved, path[j + 1], int(words[j - 1]) if j else 0,
+                        b"".join(path[:j + 1])))
     return pd.DataFrame(out, columns=[c.split()[0] for c in NODE_SCHEMA.split(", ")])
 
 
@@ -213,7 +217,8 @@ def _ends(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 key, digest, first = k, hashlib.sha256(), True
             digest.update((str(c) if first else "," + str(c)).encode())
             first = False
-        yield pd.DataFrame({"key": out_keys, "ends_sha256": out_hashes})
+        if out_keys:  # Arrow cannot type an empty column of objects
+            yield pd.DataFrame({"key": out_keys, "ends_sha256": out_hashes})
     if key is not None:
         yield pd.DataFrame({"key": [key], "ends_sha256": [digest.hexdigest()]})
 
@@ -226,8 +231,10 @@ def trie(conversations: DataFrame, most_turns: int = CONTAINER_TURNS) -> DataFra
         F.first("pk").alias("pk"), F.first("words").alias("words"),
         F.count("*").alias("mult"), F.min("conv_id").alias("least"), F.first("L").alias("L"))
     placed = containers(distinct, most_turns)
-    swept = save(placed.groupBy(F.element_at("pk", F.col("hd") + 1).alias("head"), "terminal")
-                 .applyInPandas(_sweep, NODE_SCHEMA), "conversation-nodes")
+    swept = placed.groupBy(F.element_at("pk", F.col("hd") + 1).alias("head"), "terminal"
+                           ).applyInPandas(_sweep, NODE_SCHEMA)
+    none = {c: F.when(F.length(c) > 0, F.col(c)) for c in ("parent_key", "child")}
+    swept = save(swept.withColumns(none), "conversation-nodes")
     below = swept.where(F.col("kind") == "node").drop("kind", "child", "path")
     parts = swept.where(F.col("kind") == "part")
     above = parts.groupBy("key").agg(
@@ -236,7 +243,9 @@ def trie(conversations: DataFrame, most_turns: int = CONTAINER_TURNS) -> DataFra
         F.count_distinct("child").alias("n_children"), F.sum("n_leaves").alias("n_leaves"),
         F.sum("saved_tokens").alias("saved_tokens"), F.first("words").alias("words"),
         F.first("path").alias("path"))
-    own = above.select(F.explode("path").alias("key"),
+    keys = F.transform(F.sequence(F.lit(0), (F.length("path") / 16).cast("int") - 1),
+                       lambda i: F.substring("path", (i * 16 + 1).cast("int"), 16))
+    own = above.select(F.explode(keys).alias("key"),
                        ((F.col("n_convs") - 1) * F.col("words")).alias("own"))
     inner = own.groupBy("key").agg(F.sum("own").alias("inner"))
     above = above.join(inner, "key").select(
