@@ -102,18 +102,52 @@ def page_navigation(pages: DataFrame) -> DataFrame:
         (html.contains("morelink") & (more_link(html) != "")).alias("has_more"))
 
 
-def complete_threads(pages: DataFrame, first_page: int = 0) -> DataFrame:
-    """id of the threads whose pages have all landed.
-
-    Page numbers run from `first_page` without a gap, and no copy of the last page
-    links to more. A thread without a landed page is not complete.
+def page_facts(pages: DataFrame) -> DataFrame:
+    """page_key, page_no, has_more, link_no: the page number its 'more' link asks for, if any."""
+    nav = page_navigation(pages)
+    link = F.regexp_extract(F.coalesce(F.col("next_href"), F.lit("")), r"[?&]p=([0-9]{1,9})\b", 1)
+    return nav.select("page_key", "page_no", "has_more",
+                      F.when(link != "", link.cast("int")).alias("link_no"))
+
+
+def first_pages(facts: DataFrame, first_page: int | None = None) -> DataFrame:
+    """page_key and the number its first page has in the landing.
+
+    Forum addresses count pages from 1, and a page's 'more' link asks for the address number
+    after its own; so a page numbered n in the landing whose link asks for p is page p - 1 of
+    the forum, and the landing's first page of that thread is n + 2 - p. A thread without such
+    a link takes the number that the other threads show, and where no page shows one, the
+    given `first_page` (0 when none is given). A given `first_page` holds for every thread.
+    """
+    keys = facts.select("page_key").distinct()
+    if first_page is not None:
+        return keys.withColumn("first", F.lit(first_page))
+    shown = (facts.where(F.col("link_no").isNotNull())
+             .groupBy("page_key").agg(F.min(F.col("page_no") + 2 - F.col("link_no")).alias("own")))
+    overall = shown.agg(F.min("own").alias("m")).first().m  # one number
+    fallback = 0 if overall is None else int(overall)
+    return keys.join(shown, "page_key", "left").select(
+        "page_key", F.coalesce("own", F.lit(fallback)).alias("first"))
+
+
+def complete_from_facts(facts: DataFrame, first_page: int | None = None) -> DataFrame:
+    """id of the threads whose pages have all landed, from their paging facts.
+
+    Page numbers run from the thread's first page (see `first_pages`) without a gap, and no
+    copy of the last page links to more. A thread without a landed page is not complete.
     """
-    facts = page_navigation(pages).groupBy("page_key", "page_no").agg(
-        F.bool_or("has_more").alias("has_more"))
-    return (facts.groupBy("page_key").agg(
+    per = facts.groupBy("page_key", "page_no").agg(F.bool_or("has_more").alias("has_more"),
+                                                   F.max("link_no").alias("link_no"))
+    return (per.groupBy("page_key").agg(
         F.count("*").alias("n"), F.count("page_no").alias("numbered"),
         F.min("page_no").alias("low"), F.max("page_no").alias("high"),
         F.max_by("has_more", "page_no").alias("more"))
-        .filter((F.col("n") == F.col("numbered")) & (F.col("low") == first_page)
+        .join(first_pages(per, first_page), "page_key")
+        .filter((F.col("n") == F.col("numbered")) & (F.col("low") == F.col("first"))
                 & (F.col("high") - F.col("low") + 1 == F.col("n")) & ~F.col("more"))
         .select(F.col("page_key").alias("id")))
+
+
+def complete_threads(pages: DataFrame, first_page: int | None = None) -> DataFrame:
+    """id of the threads whose pages have all landed; the first page as in `first_pages`."""
+    return complete_from_facts(page_facts(pages), first_page)

@@ -361,8 +361,9 @@ CHECKS = {
     "foreign_page_comments": """SELECT count(*) AS n FROM pages
         WHERE regexp_matches(html, '<tr [^>]*class="[^"]*athing comtr')""",
     "incremental_ingest": _with(COMMENTS, _COMMENT.replace("SELECT", "SELECT DISTINCT", 1)),
-    "batch_ingest": _with(COMMENTS, _COMMENT.replace("SELECT", "SELECT DISTINCT", 1) + """
-        WHERE thread_date >= '1996-01-01'"""),
+    **{name: _with(COMMENTS, _COMMENT.replace("SELECT", "SELECT DISTINCT", 1) + """
+        WHERE thread_date >= '1996-01-01'""") for name in ("batch_ingest",
+                                                            "batch_ingest_pages_from_one")},
     "paybanding_flags": _with(KEPT, f"SELECT id, {_BANDS} FROM kept"),
     "tech_multihot": _with(STRUCTURED, f"SELECT id, {_TECH_COLUMNS} FROM post"),
     "ml_features": _with(STRUCTURED, f"""

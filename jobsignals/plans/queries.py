@@ -375,18 +375,35 @@ def two_streams_ingest(spark, sf_dir):
     return read_comments(spark, f"{root}/comments").select(*COMMENTS.names)
 
 
-@query
-def batch_ingest(spark, sf_dir):
-    """Pages land in two drops; threads stay pending until their last page has landed."""
-    root = until_exit(spark, "batch")
+def _batch_runs(spark, sf_dir, name, shift):
+    """Pages land in two drops into folders by page_key; a run follows each drop and a third
+    run finds nothing pending. `shift` is added to every page number (1: numbered from 1, as
+    the forum's addresses are)."""
+    root = until_exit(spark, name)
     threads = derived.threads(spark, sf_dir)
-    for drop in _drops(derived.forum_pages(spark, sf_dir)):
-        drop.write.mode("append").parquet(f"{root}/landing")
+    landed = derived.forum_pages(spark, sf_dir).withColumn(
+        "page_no", (F.col("page_no") + shift).cast("int"))
+    for drop in [*_drops(landed), None]:
+        if drop is not None:
+            drop.write.mode("append").partitionBy("page_key").parquet(f"{root}/landing")
         ingest_batch(spark, threads, spark.read.schema(PAGES).parquet(f"{root}/landing"),
-                     f"{root}/comments", f"{root}/processed", THREADS_SINCE, derived.FORUM)
+                     f"{root}/comments", f"{root}/processed", THREADS_SINCE, derived.FORUM,
+                     ledger=f"{root}/ledger")
     return read_comments(spark, f"{root}/comments").select(*COMMENTS.names)
 
 
+@query
+def batch_ingest(spark, sf_dir):
+    """Pages land in two drops; threads stay pending until their last page has landed."""
+    return _batch_runs(spark, sf_dir, "batch", 0)
+
+
+@query
+def batch_ingest_pages_from_one(spark, sf_dir):
+    """As batch_ingest, with pages numbered from 1 as the forum numbers them."""
+    return _batch_runs(spark, sf_dir, "batch-one", 1)
+
+
 @query
 def merged_raw(spark, sf_dir):
     """The per-thread store merged into one table by month."""

@@ -361,3 +361,74 @@ def test_stream_equals_batch_and_survives_replay(spark, sf_dir, tmp_path):
     ingest_stream(spark, landing, store, str(tmp_path / "cp"), derived.FORUM).awaitTermination()
     assert spark.read.parquet(store).count() == n_rows
     assert as_set(tables.read_comments(spark, store)) == want
+
+
+# --- ledger, first page, pruning ----------------------------------------------
+
+def linked(key, no, *ids, to=None, date="2023-01-01"):
+    """A page whose 'more' link asks for the forum address `to`, as the forum writes it."""
+    _, _, _, html = page(key, no, *ids, date=date)
+    more = f'<a href="item?id={key}&amp;p={to}" class="morelink" rel="next">More</a>' if to else ""
+    return (key, no, date, html + more)
+
+
+@pytest.mark.parametrize("shift", [0, 1])
+def test_first_page_comes_from_the_links(spark, tmp_path, shift):
+    """Pages numbered from 0 or from 1 complete alike; a thread without its first page waits."""
+    store, done, ledger = (str(tmp_path / n) for n in ("s", "d", "l"))
+    threads = spark.createDataFrame([(t, "x", "2023-01-01", "u") for t in ("a", "b", "c")],
+                                    THREADS)
+    landed = [linked("a", shift, "a1", to=2), linked("a", shift + 1, "a2"),
+              linked("b", shift + 1, "b2", to=3), linked("b", shift + 2, "b3"),
+              linked("c", shift, "c1")]
+
+    def run():
+        ingest_batch(spark, threads, spark.createDataFrame(landed, PAGES), store, done,
+                     ledger=ledger)
+        return {r.id for r in state.read_processed(spark, done).collect()}
+
+    assert run() == {"a", "c"}
+    landed.append(linked("b", shift, "b1", to=2))
+    assert run() == {"a", "b", "c"}
+
+
+def test_a_given_first_page_holds(spark, tmp_path):
+    facts = spark.createDataFrame([("a", 1, False, None), ("b", 0, False, None)],
+                                  "page_key string, page_no int, has_more boolean, link_no int")
+    assert {r.id for r in pages.complete_from_facts(facts, 1).collect()} == {"a"}
+    assert {r.id for r in pages.complete_from_facts(facts).collect()} == {"b"}
+
+
+def test_ledger_keeps_few_versions_and_ignores_unfinished_ones(spark, tmp_path):
+    from jobsignals.sources import ledger
+
+    path = str(tmp_path / "ledger")
+    schema = "page_key string, page_no int, has_more boolean, link_no int"
+    for n in range(5):
+        ledger.merge_ledger(spark, path, spark.createDataFrame(
+            [("t", n, n < 4, n + 2 if n < 4 else None)], schema))
+    folders = sorted(p.name for p in (tmp_path / "ledger").iterdir())
+    assert len(folders) == ledger.KEEP_VERSIONS
+    (tmp_path / "ledger" / "v99999999").mkdir()  # a merge that died before its commit
+    got = ledger.read_ledger(spark, path).collect()
+    assert sorted((r.page_no, r.has_more, r.first_run) for r in got) == [
+        (0, True, 1), (1, True, 2), (2, True, 3), (3, True, 4), (4, False, 5)]
+    ledger.merge_ledger(spark, path, spark.createDataFrame([("t", 4, True, 6)], schema))
+    assert ledger.read_ledger(spark, path).where("page_no = 4").first().has_more
+
+
+def test_scan_is_pruned_to_pending_threads(spark, tmp_path):
+    rows = [linked(f"t{i}", 0, f"x{i}") for i in range(6)]
+    spark.createDataFrame(rows, PAGES).write.partitionBy("page_key").parquet(str(tmp_path / "land"))
+    threads = spark.createDataFrame([(f"t{i}", "x", "2023-01-01", "u") for i in range(6)], THREADS)
+    landed = spark.read.schema(PAGES).parquet(str(tmp_path / "land"))
+    pending = state.pending_threads(threads, spark.createDataFrame([("t0",)], "id string"))
+    wanted = landed.join(pending.select(F.col("id").alias("page_key")), "page_key", "left_semi")
+    plan = wanted._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    store, done = str(tmp_path / "s"), str(tmp_path / "d")
+    counts = [ingest_batch(spark, threads, landed, store, done, ledger=str(tmp_path / "l"))
+              for _ in range(2)]
+    assert counts == [6, 0]
+    assert {r.id for r in tables.read_comments(spark, store).collect()} == {
+        f"x{i}" for i in range(6)}
