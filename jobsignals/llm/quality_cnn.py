@@ -34,8 +34,8 @@ FOLDS, HELD_OUT = 3, 1
 DIM, WIDTH, FILTERS = 8, 5, 32
 PAD = 256
 CHUNK = 1 << 16
-#: Most bytes of text the training sample holds.
-TRAIN_BYTES = 24 << 20
+#: Most bytes of text, and most rows, that the training sample holds (about; drawn by hash).
+TRAIN_BYTES, TRAIN_ROWS = 16 << 20, 100_000
 EPOCHS, BATCH, RATE, SEED = 4, 32, 0.01, 13
 
 
@@ -47,9 +47,9 @@ def init(seed: int = SEED) -> dict[str, np.ndarray]:
 
 
 def codes(text: bytes) -> np.ndarray:
-    ids = np.frombuffer(text, np.uint8).astype(np.int64)
+    ids = np.frombuffer(text, np.uint8).astype(np.uint16)
     if len(ids) < WIDTH:
-        ids = np.concatenate([ids, np.full(WIDTH - len(ids), PAD)])
+        ids = np.concatenate([ids, np.full(WIDTH - len(ids), PAD, np.uint16)])
     return ids
 
 
@@ -89,6 +89,7 @@ def probability(w: dict, t: np.ndarray, ids: np.ndarray) -> float:
 
 def gradients(w: dict, ids: np.ndarray, y: float, weight: float) -> tuple[dict, float]:
     """Gradients of the weighted log loss of one text; only the max-pooled windows carry them."""
+    ids = ids.astype(np.intp)
     x = w["E"][ids]
     h = responses(w, ids)
     at = h.argmax(0)
@@ -150,16 +151,20 @@ def folded(docs: DataFrame) -> DataFrame:
                        whole_text().alias("text"), (fold == HELD_OUT).alias("held_out"))
 
 
-def training_rows(rows: DataFrame, labels: DataFrame, most_bytes: int = TRAIN_BYTES) -> DataFrame:
-    """(text, y) of labelled rows outside the held-out fold, sampled by hash to about most_bytes."""
+def training_rows(rows: DataFrame, labels: DataFrame, most_bytes: int = TRAIN_BYTES,
+                  most_rows: int = TRAIN_ROWS) -> DataFrame:
+    """(text, y) of labelled rows outside the held-out fold, drawn by a hash of doc_id to about
+    most_bytes of text and most_rows rows. Only lengths move until the draw; then only the
+    drawn texts do."""
     y = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
          .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
          .agg(F.avg(F.col("quality").cast("double")).alias("y")))
-    train = rows.where(~F.col("held_out")).join(y, "doc_id")
-    total = train.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
-    share = min(1.0, most_bytes / total) if total else 1.0
+    train = rows.where(~F.col("held_out"))
+    sizes = train.select("doc_id", F.octet_length("text").alias("n")).join(y, "doc_id")
+    total = sizes.agg(F.sum("n").alias("n"), F.count("*").alias("rows")).first()
+    share = min(1.0, most_bytes / max(total.n or 0, 1), most_rows / max(total.rows, 1))
     pick = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 20)) < int(share * (1 << 20))
-    return train.where(pick).select("text", "y")
+    return train.where(pick).join(y.where(pick), "doc_id").select("text", "y")
 
 
 def score(rows: DataFrame, w: dict[str, np.ndarray]) -> DataFrame:
@@ -181,9 +186,10 @@ def score(rows: DataFrame, w: dict[str, np.ndarray]) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
-def classify(docs: DataFrame, labels: DataFrame, most_bytes: int = TRAIN_BYTES) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, most_bytes: int = TRAIN_BYTES,
+             most_rows: int = TRAIN_ROWS) -> DataFrame:
     """Fit on the sampled training rows, then score every document."""
     rows = folded(docs)
-    sample = training_rows(rows, labels, most_bytes).collect()  # bounded by most_bytes
+    sample = training_rows(rows, labels, most_bytes, most_rows).collect()  # bounded draw
     w = fit([r.text.encode() for r in sample], np.array([r.y for r in sample]))
     return score(rows, w)
