@@ -1,0 +1,56 @@
+"""Boosted trees in chunks: a killed fit resumed equals one that ran through; masked columns."""
+
+import random
+
+import numpy as np
+from pyspark.ml.linalg import Vectors
+
+from jobsignals.plans import boosting
+
+R = random.Random(1)
+
+
+def frame(spark):
+    rows = []
+    for _ in range(300):
+        x = [R.random() for _ in range(6)]
+        rows.append((Vectors.dense(x), 3 * x[0] + x[1] ** 2 + R.random() * .1))
+    return spark.createDataFrame(rows, ["features", "y"])
+
+
+def trees(spark, booster):
+    return [(cols, tree.toDebugString.split("\n", 1)[1])  # without the model's uid
+            for k in range(-(-booster.rounds // booster.chunk))
+            for cols, tree in booster.trees(spark, k)]
+
+
+def test_killed_and_resumed_equals_uninterrupted(spark, tmp_path):
+    df = frame(spark)
+    whole = boosting.fit(df, "features", "y", str(tmp_path / "a"), rounds=7, chunk=3, depth=4)
+    boosting.fit(df, "features", "y", str(tmp_path / "b"), rounds=7, chunk=3, depth=4,
+                 stop_after=1)
+    assert boosting._marked(spark, str(tmp_path / "b")) == 1
+    resumed = boosting.fit(df, "features", "y", str(tmp_path / "b"), rounds=7, chunk=3, depth=4)
+    assert trees(spark, whole) == trees(spark, resumed)
+    one = whole.predict(df, "features", "p", str(tmp_path / "p1")).orderBy("y").collect()
+    two = resumed.predict(df, "features", "p", str(tmp_path / "p2")).orderBy("y").collect()
+    assert [r.p for r in one] == [r.p for r in two]
+    mse = np.mean([(r.p - r.y) ** 2 for r in one])
+    assert mse < np.var([r.y for r in one]) / 2
+    # Rows of old chunks go, trees stay.
+    assert not (tmp_path / "a" / "chunk-00000" / "rows").exists()
+    assert (tmp_path / "a" / "chunk-00000" / "tree-0").exists()
+
+
+def test_a_tree_splits_only_on_its_columns(spark, tmp_path):
+    booster = boosting.fit(frame(spark), "features", "y", str(tmp_path / "m"), rounds=6,
+                           chunk=6, depth=3, colsample=0.5)
+    seen = set()
+    for cols, tree in booster.trees(spark, 0):
+        assert len(cols) == 3
+        seen.add(tuple(cols))
+        used = np.flatnonzero(tree.featureImportances.toArray())
+        assert tree.numFeatures == 3 and set(used) <= {0, 1, 2}
+    assert len(seen) > 1  # drawn anew for each tree
+    weights = booster.importances(spark, 6)
+    assert abs(weights.sum() - 1) < 1e-9 and (weights >= 0).all()
