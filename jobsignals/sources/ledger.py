@@ -21,20 +21,30 @@ def _fs(spark: SparkSession, path: str):
     return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _versions(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
-    """(number, committed) of every version folder, oldest first."""
+def numbered(spark: SparkSession, path: str, prefix: str) -> list[tuple[int, bool]]:
+    """(number, committed) of every folder `<prefix><number>` below path, oldest first."""
     where, fs = _fs(spark, path)
-    if not fs.exists(where):
+    if not fs.exists(where) or not fs.getFileStatus(where).isDirectory():
         return []
     out = []
     for status in fs.listStatus(where):
         name = status.getPath().getName()
-        if status.isDirectory() and name.startswith("v") and name[1:].isdigit():
+        rest = name[len(prefix):]
+        if status.isDirectory() and name.startswith(prefix) and rest.isdigit():
             done = fs.exists(spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
-            out.append((int(name[1:]), bool(done)))
+            out.append((int(rest), bool(done)))
     return sorted(out)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    where, fs = _fs(spark, path)
+    fs.delete(where, True)
+
+
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
+    return numbered(spark, path, "v")
+
+
 def _folder(path: str, number: int) -> str:
     return f"{path.rstrip('/')}/v{number:08d}"
 
@@ -62,6 +72,5 @@ def merge_ledger(spark: SparkSession, path: str, facts: DataFrame) -> DataFrame:
                    F.min("first_run").alias("first_run")))
     merged.write.parquet(_folder(path, run))
     for number, _ in _versions(spark, path)[:-KEEP_VERSIONS]:
-        where, fs = _fs(spark, _folder(path, number))
-        fs.delete(where, True)
+        remove(spark, _folder(path, number))
     return read_ledger(spark, path)

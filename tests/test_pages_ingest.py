@@ -432,3 +432,23 @@ def test_scan_is_pruned_to_pending_threads(spark, tmp_path):
     assert counts == [6, 0]
     assert {r.id for r in tables.read_comments(spark, store).collect()} == {
         f"x{i}" for i in range(6)}
+
+
+def test_processed_store_stays_small_and_survives_a_crash(spark, tmp_path):
+    store = str(tmp_path / "done")
+    for run in range(50):
+        state.mark_processed(spark.createDataFrame([(str(run),), (str(run % 7),)], "id string"),
+                             store)
+    files = [p for p in (tmp_path / "done").rglob("*") if p.is_file()]
+    assert len(files) < 4 * (state.COMPACT_EVERY + 2)
+    assert {r.id for r in state.read_processed(spark, store).collect()} == {
+        str(i) for i in range(50)}
+    # A snapshot and a log that died before their commit markers are not read.
+    (tmp_path / "done" / "snap-99999999").mkdir()
+    (tmp_path / "done" / "snap-99999999" / "part-0.json").write_text(
+        json.dumps({"processed_threads": ["ghost"]}))
+    (tmp_path / "done" / "log" / "99999998").mkdir()
+    assert "ghost" not in {r.id for r in state.read_processed(spark, store).collect()}
+    state.mark_processed(spark.createDataFrame([("new",)], "id string"), store)
+    assert {r.id for r in state.read_processed(spark, store).collect()} == {
+        str(i) for i in range(50)} | {"new"}
