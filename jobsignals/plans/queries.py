@@ -476,13 +476,10 @@ def tfidf_top_terms(spark, sf_dir):
 
 
 def _weights(spark: SparkSession, sf_dir: str, terms: int, token: str) -> DataFrame:
-    """Every non-zero weight of every document's vector, by term."""
+    """Every non-zero weight of every document's vector, by term; sparse all the way."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = features.fit_tfidf(docs, "text", "vector", terms, token, derived.STOP_WORDS)
-    names = F.array(*map(F.lit, features.vocabulary(model)))
-    cells = model.transform(docs).select("doc_id", F.posexplode(vector_to_array("vector")))
-    return rounded(cells.filter("col > 0").select(
-        "doc_id", F.get(names, F.col("pos")).alias("term"), F.col("col").alias("weight")), "weight")
+    cells = features.tfidf_cells(docs, "doc_id", "text", terms, token, derived.STOP_WORDS)
+    return rounded(cells, "weight")
 
 
 @query
