@@ -45,12 +45,43 @@ class SkippedFile(UserWarning):
     """A file that is no readable table has been left out."""
 
 
+def _footers(parts):
+    """(path, schema) of each file, from its parquet footer alone; schema null if unreadable."""
+    import pandas as pd
+    import pyarrow.fs as pafs
+    import pyarrow.parquet as pq
+
+    for part in parts:
+        out = []
+        for path in part["path"]:
+            try:
+                fs, where = pafs.FileSystem.from_uri(path)
+                with fs.open_input_file(where) as f:
+                    schema = pq.read_schema(f)
+                own = sorted((n, str(t)) for n, t in zip(schema.names, schema.types))
+                out.append((path, json.dumps(own)))
+            except Exception:  # any file that is no parquet, or cannot be opened
+                out.append((path, None))
+        yield pd.DataFrame(out, columns=["path", "schema"])
+
+
+def schema_census(spark: SparkSession, path: str) -> DataFrame:
+    """path and schema (JSON of sorted name, type pairs) of every file below path.
+
+    Files are listed as binary files without their content; tasks read the footers.
+    """
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+              .select("path").where(~F.element_at(F.split("path", "/"), -1).rlike("^[._]")))
+    return listed.repartition(max(1, spark.sparkContext.defaultParallelism), "path").mapInPandas(
+        _footers, "path string, schema string")
+
+
 def read_typed(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """`columns` as strings from parquet files that may store them in different types.
 
     Where all files agree, that is one read. Otherwise files are grouped by their own
-    schema, each group is read as it is stored, cast, and united by name; this takes a
-    look at every footer from the driver, so keep mixed folders small. A column a file
+    schema, each group is read as it is stored, cast, and united by name; the footers are
+    read by tasks (`schema_census`), the driver only groups the paths. A column a file
     lacks is null there. A file that is no parquet is left out with a warning.
     """
     def cast(df: DataFrame) -> DataFrame:
@@ -64,14 +95,12 @@ def read_typed(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFr
         if isinstance(e, AnalysisException) and e.getCondition() == "PATH_NOT_FOUND":
             raise
     groups: dict[str, list[str]] = {}
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    for file in sorted(listed.inputFiles()):
-        try:
-            schema = spark.read.option("basePath", path).parquet(file).schema
-            own = sorted((f.name, f.dataType.simpleString()) for f in schema)
-            groups.setdefault(json.dumps(own), []).append(file)
-        except (PySparkException, Py4JJavaError):
-            warnings.warn(f"left out, not readable as parquet: {file}", SkippedFile, stacklevel=2)
+    for r in schema_census(spark, path).collect():  # one short row per file
+        if r.schema is None:
+            warnings.warn(f"left out, not readable as parquet: {r.path}", SkippedFile,
+                          stacklevel=2)
+        else:
+            groups.setdefault(r.schema, []).append(r.path)
     frames = [cast(spark.read.option("basePath", path).parquet(*files))
               for _, files in sorted(groups.items())]
     if not frames:

@@ -452,3 +452,13 @@ def test_processed_store_stays_small_and_survives_a_crash(spark, tmp_path):
     state.mark_processed(spark.createDataFrame([("new",)], "id string"), store)
     assert {r.id for r in state.read_processed(spark, store).collect()} == {
         str(i) for i in range(50)} | {"new"}
+
+
+def test_schema_census_reads_footers_in_tasks(spark, tmp_path):
+    spark.createDataFrame([(1, "a")], "id long, x string").coalesce(1).write.parquet(
+        str(tmp_path / "t/a"))
+    spark.createDataFrame([("2",)], "id string").coalesce(1).write.parquet(str(tmp_path / "t/b"))
+    (tmp_path / "t" / "junk.parquet").write_text("no parquet")
+    rows = tables.schema_census(spark, str(tmp_path / "t")).collect()
+    kinds = sorted(r.schema or "-" for r in rows)
+    assert len(rows) == 3 and kinds[0] == "-" and len(set(kinds)) == 3
