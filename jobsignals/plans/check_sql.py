@@ -361,6 +361,7 @@ CHECKS = {
     "foreign_page_comments": """SELECT count(*) AS n FROM pages
         WHERE regexp_matches(html, '<tr [^>]*class="[^"]*athing comtr')""",
     "incremental_ingest": _with(COMMENTS, _COMMENT.replace("SELECT", "SELECT DISTINCT", 1)),
+    "compacted_comments": _with(COMMENTS, _COMMENT.replace("SELECT", "SELECT DISTINCT", 1)),
     **{name: _with(COMMENTS, _COMMENT.replace("SELECT", "SELECT DISTINCT", 1) + """
         WHERE thread_date >= '1996-01-01'""") for name in ("batch_ingest",
                                                             "batch_ingest_pages_from_one")},

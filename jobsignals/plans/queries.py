@@ -24,8 +24,8 @@ from jobsignals.session import until_exit
 from jobsignals.sources import state
 from jobsignals.sources.state import pending_threads, read_threads, write_threads
 from jobsignals.sources.tables import (
-    date_range, merge_comments, read_comments, read_raw, read_structured, write_structured,
-    write_thread_comments,
+    compact_comments, date_range, merge_comments, read_comments, read_compacted, read_raw,
+    read_structured, write_structured, write_thread_comments,
 )
 from jobsignals.streaming.ingest import ingest_batch, ingest_stream
 
@@ -363,6 +363,18 @@ def incremental_ingest(spark, sf_dir):
     return read_comments(spark, f"{root}/comments").select(*COMMENTS.names)
 
 
+@query
+def compacted_comments(spark, sf_dir):
+    """The stream store of incremental_ingest, compacted twice into months and read back."""
+    root = until_exit(spark, "compact")
+    for drop in _drops(derived.forum_pages(spark, sf_dir)):
+        drop.write.mode("append").parquet(f"{root}/landing")
+        ingest_stream(spark, f"{root}/landing", f"{root}/comments", f"{root}/state",
+                      derived.FORUM).awaitTermination()
+        compact_comments(spark, f"{root}/comments", f"{root}/compacted")
+    return read_compacted(spark, f"{root}/compacted").select(*COMMENTS.names)
+
+
 @query
 def two_streams_ingest(spark, sf_dir):
     """Two streams, each with its own pages, share one store."""

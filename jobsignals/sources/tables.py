@@ -15,6 +15,10 @@ from pyspark.sql import types as T
 from jobsignals.functions.text import month_key
 from jobsignals.operators.dedupe import keep_first
 from jobsignals.schemas import COMMENTS, STRUCTURED
+from jobsignals.sources.ledger import numbered, remove
+
+#: Compacted versions kept; readers take the newest committed one.
+KEEP_COMPACTED = 2
 
 
 def _replace_partitions(df: DataFrame, path: str, *by: str, order: str | None = None) -> None:
@@ -125,6 +129,37 @@ def read_comments(spark: SparkSession, path: str) -> DataFrame:
     return keep_first(rows, [F.col("id")], order)
 
 
+def compact_comments(spark: SparkSession, store: str, compacted: str) -> int:
+    """Rewrite the store, first row per id, as one folder per month; returns the version.
+
+    The version is a new folder `c<number>` that counts once Spark has committed it
+    (`_SUCCESS`), so a compaction that dies on the way leaves readers on the version before.
+    Compacting again gives the same rows. Only the newest KEEP_COMPACTED committed versions
+    stay; folders that a crash left uncommitted go with the next compaction.
+    """
+    versions = numbered(spark, compacted, "c")
+    number = (versions[-1][0] + 1) if versions else 1
+    rows = read_comments(spark, store).select(*COMMENTS.names)
+    (rows.withColumn("month", F.coalesce(month_key(F.to_date("thread_date")), F.lit("none")))
+     .hint("rebalance", "month").sortWithinPartitions("month", "thread_date", "id")
+     .write.partitionBy("month").parquet(f"{compacted}/c{number:08d}"))
+    done = [n for n, ok in numbered(spark, compacted, "c") if ok]
+    for n, ok in numbered(spark, compacted, "c"):
+        if n < number and (not ok or n not in done[-KEEP_COMPACTED:]):
+            remove(spark, f"{compacted}/c{n:08d}")
+    return number
+
+
+def read_compacted(spark: SparkSession, compacted: str) -> DataFrame:
+    """The newest committed compaction, as it stands: no grouping at read time."""
+    done = [n for n, ok in numbered(spark, compacted, "c") if ok]
+    if not done:
+        return spark.createDataFrame([], COMMENTS)
+    return (spark.read.schema(T.StructType([*COMMENTS.fields,
+                                            T.StructField("month", T.StringType())]))
+            .parquet(f"{compacted}/c{done[-1]:08d}"))
+
+
 def write_raw(posts: DataFrame, path: str, range_path: str | None = None) -> None:
     """Merged raw posts, one folder per month, sorted by date inside files.
 

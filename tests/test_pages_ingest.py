@@ -462,3 +462,24 @@ def test_schema_census_reads_footers_in_tasks(spark, tmp_path):
     rows = tables.schema_census(spark, str(tmp_path / "t")).collect()
     kinds = sorted(r.schema or "-" for r in rows)
     assert len(rows) == 3 and kinds[0] == "-" and len(set(kinds)) == 3
+
+
+def test_compaction_survives_a_crash_and_repeats_alike(spark, tmp_path):
+    store, out = str(tmp_path / "store"), str(tmp_path / "compacted")
+    spark.createDataFrame([page("t1", 0, "a", "b")], PAGES).write.parquet(f"{tmp_path}/land")
+    stream(spark, tmp_path, "land", "cp")
+    spark.createDataFrame([page("t2", 0, "a", "c", date="2023-02-01")], PAGES).write.parquet(
+        f"{tmp_path}/land2")
+    stream(spark, tmp_path, "land2", "cp2")
+    first = tables.compact_comments(spark, store, out)
+    rows = sorted(map(tuple, tables.read_compacted(spark, out).collect()))
+    assert sorted(r[0] for r in rows) == ["a", "b", "c"]
+    # A compaction that died before its commit: readers stay on the version before.
+    (tmp_path / "compacted" / "c99999999" / "month=2023-01").mkdir(parents=True)
+    spark.createDataFrame([page("t9", 0, "ghost")], PAGES).write.parquet(
+        str(tmp_path / "compacted" / "c99999999" / "month=2023-01" / "x"))
+    assert sorted(map(tuple, tables.read_compacted(spark, out).collect())) == rows
+    again = tables.compact_comments(spark, store, out)
+    assert again > first and sorted(map(tuple, tables.read_compacted(spark, out).collect())) == rows
+    tables.compact_comments(spark, store, out)
+    assert len(list((tmp_path / "compacted").iterdir())) <= tables.KEEP_COMPACTED
