@@ -14,7 +14,9 @@ from jobsignals.llm.common import batches, strings, word_lists
 #: The id that ends every document.
 END_ID = 1
 #: Words kept by a worker; the memory of a worker stays bounded, the ids are the same.
-MOST_WORDS = 200_000
+MOST_WORDS = 100_000
+#: Bytes of text encoded at once.
+BATCH_BYTES = 1 << 20
 #: Latin letters, then punctuation that no rule of the tokenizer joins with letters.
 SIMPLE = r"^(?P<core>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-&(-/:-@\[-`{-~]*)$"
 
@@ -46,18 +48,41 @@ class WordTokens:
     def clear(self) -> None:
         self.places: dict[str, int] = {}
         self.others: dict[str, int] = {}
-        self.starts, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        # Growing arrays: room doubles when full, so appending copies each id a few times only.
+        self._starts, self._flat = np.zeros(1024, np.int64), np.zeros(4096, np.uint32)
+        self.n_words, self.n_ids = 0, 0
+
+    @property
+    def starts(self) -> np.ndarray:
+        return self._starts[:self.n_words + 1]
+
+    @property
+    def flat(self) -> np.ndarray:
+        return self._flat[:self.n_ids]
+
+    @staticmethod
+    def _room(a: np.ndarray, need: int) -> np.ndarray:
+        if need <= len(a):
+            return a
+        bigger = np.zeros(max(need, 2 * len(a)), a.dtype)
+        bigger[:len(a)] = a
+        return bigger
 
     def _places(self, words: list[str], known: dict[str, int], tokenizer) -> np.ndarray:
         new = [w for w in words if w not in known]
         if new:
             ids = [e.ids for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            first = len(self.starts) - 1
+            first = self.n_words
             known.update(zip(new, range(first, first + len(new))))
-            ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) + self.starts[-1]
-            self.starts = np.concatenate([self.starts, ends])
+            ends = (np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+                    + self._starts[self.n_words])
+            self._starts = self._room(self._starts, self.n_words + 1 + len(new))
+            self._starts[self.n_words + 1:self.n_words + 1 + len(new)] = ends
+            self.n_words += len(new)
             flat = np.fromiter((i for x in ids for i in x), np.uint32)
-            self.flat = np.concatenate([self.flat, flat])
+            self._flat = self._room(self._flat, self.n_ids + len(flat))
+            self._flat[self.n_ids:self.n_ids + len(flat)] = flat
+            self.n_ids += len(flat)
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -93,7 +118,7 @@ class WordTokens:
 
 def token_batches(part: pa.Array, coder: WordTokens) -> Iterator[tuple[int, np.ndarray]]:
     """(row, ids with the end id) of every text of a batch."""
-    for start, stop in batches(part):
+    for start, stop in batches(part, BATCH_BYTES):
         ids, offsets = coder.encode(part.slice(start, stop - start))
         for row in range(stop - start):
             yield start + row, np.append(ids[offsets[row]:offsets[row + 1]],
