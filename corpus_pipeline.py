@@ -1,4 +1,16 @@
-"""From raw documents to packed sequences: each stage takes what the one before it has kept."""
+"""From raw documents to packed sequences: each stage takes what the one before it has kept.
+
+Stages: quality rules (rejected documents go), exact dedup (of equal texts the largest doc_id
+stays), MinHash near dedup (one document of each group stays), mixing to target weights (every
+document stays, small sources repeat), best-fit packing. Each stage's result is written as
+Parquet to the shared folder and read back as the next one's documents.
+
+Defined cases, as the stages define them: a null text is the empty text (it fails the quality
+rules, so it goes first); a null doc_id is kept as given and never wins a tie against an id;
+repeated rows count each until exact dedup keeps one; an empty table gives empty stages and no
+pieces; extra columns ride along through the first four stages, which return the documents'
+columns, and only the packing stage returns pieces.
+"""
 
 from __future__ import annotations
 

@@ -78,3 +78,26 @@ def test_run_is_the_stages(spark, sf_dir, stages):
     key = ["doc_id", "piece", "start", "length", "ids_crc32"]
     got = corpus_pipeline.run(spark, sf_dir).select(*key)
     assert Counter(map(tuple, got.collect())) == Counter(map(tuple, stages[4][1].select(*key).collect()))
+
+
+def test_odd_tables(spark):
+    """Nulls, empties, repeats and clashing extra columns pass every stage without failing."""
+    from pyspark.sql import functions as F
+
+    from helpers import documents
+
+    good = " ".join(f"word{i} and more plain words here." for i in range(80))
+    rows = [(1, good), (2, good), (2, good), (None, good + " x"), (3, None), (4, ""),
+            (5, good.upper()), (6, "a " * 30_000)]
+    docs = documents(spark, rows).select(
+        "*", F.lit(1).alias("th"), F.lit("x").alias("row"), F.lit(2).alias("piece"))
+    empty = documents(spark, []).select("*", F.lit(1).alias("th"))
+    for frame in (docs, empty):
+        current = frame
+        for _, stage in corpus_pipeline.STAGES:
+            current = corpus_pipeline.save(stage(spark, current, ""), "odd")
+        out = current.collect()
+        if frame is empty:
+            assert out == []
+        else:
+            assert {r.doc_id for r in out} <= {1, 2, None, 5, 6}
