@@ -235,21 +235,29 @@ def hub_pairs(lists: DataFrame, turn: int) -> DataFrame:
 def other_pairs(lists: DataFrame, sets: DataFrame) -> DataFrame:
     """Members of one list that are still in different components, each pair once.
 
-    Pairs whose bitmaps differ in more places than similar sets can are never made.
+    Members of a list's largest component are compared with the members of its others only, and a
+    pair that several lists share is made by the one with the least key. Pairs whose bitmaps
+    differ in more places than similar sets can are never made.
     """
-    lists = lists.join(sets.select("node", "bits"), "node")
-    left = lists.select("key", F.col("node").alias("a"), F.col("label").alias("la"),
-                        F.col("n_shingles").alias("na"), F.col("shared").alias("sa"),
-                        F.col("bits").alias("bits_a"))
+    largest = save(lists.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(
+        F.max(F.struct("n", "label"))["label"].alias("main")), "largest")
+    of_node = lists.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("at"))
+    lists = save(lists.join(sets.select("node", "bits"), "node").join(of_node, "node")
+                 .join(largest, "key"), "members")
+    left = lists.where("label != main").select(
+        "key", "main", F.col("node").alias("a"), F.col("label").alias("la"),
+        F.col("n_shingles").alias("na"), F.col("shared").alias("sa"),
+        F.col("bits").alias("bits_a"), F.col("at").alias("at_a"))
     right = lists.select("key", F.col("node").alias("b"), F.col("label").alias("lb"),
                          F.col("n_shingles").alias("nb"), F.col("shared").alias("sb"),
-                         F.col("bits").alias("bits_b"))
+                         F.col("bits").alias("bits_b"), F.col("at").alias("at_b"))
     differ = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i]))
                   for i in range(BITMAP)), F.lit(0))
-    return (left.join(right, "key").where("a < b AND la != lb").where(fits("na", "nb"))
-            .where(enough(F.least("sa", "sb"), "na", "nb"))
+    return (left.join(right, "key").where("la != lb AND (lb = main OR a < b)")
+            .where(fits("na", "nb")).where(enough(F.least("sa", "sb"), "na", "nb"))
             .where((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("na") + F.col("nb")))
-            .select("a", "b").distinct())
+            .where(F.col("key") == F.array_intersect("at_a", "at_b")[0])
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
 
 
 def near_groups(docs: DataFrame) -> DataFrame:

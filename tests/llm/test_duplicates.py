@@ -85,6 +85,21 @@ def test_lists_that_hubs_do_not_settle(spark):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == near_components(rows)
 
 
+def test_a_pair_of_several_lists_is_made_once(spark):
+    # Members 0 to 19 are linked already; 20 to 25 are not. All share the same three lists.
+    sets = spark.createDataFrame([(i, [0] * near_dedup.BITMAP) for i in range(26)],
+                                 "node int, bits array<long>")
+    lists = spark.createDataFrame(
+        [(k, i, 0 if i < 20 else i, 100, 100) for k in (7, 8, 9) for i in range(26)],
+        "key long, node int, label int, n_shingles int, shared int")
+    got = near_dedup.other_pairs(lists, sets)
+    assert Counter((r.a, r.b) for r in got.collect()) == Counter(
+        (a, b) for a in range(26) for b in range(20, 26) if a < b)
+    joined = got._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")
+    # No pair leaves the join twice, so none is removed behind it.
+    assert len(joined) == 2 and "Aggregate" not in joined[0]
+
+
 def test_bitmaps_never_differ_more_than_the_sets():
     rng = np.random.default_rng(4)
     for _ in range(200):
