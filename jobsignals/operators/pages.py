@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,27 +21,40 @@ from jobsignals.sources import forum_html
 # The helper travels with the task, so executors need no installed package.
 register_pickle_by_value(forum_html)
 
-OUT_ROWS = 5000     # rows per Arrow batch handed back
+OUT_ROWS = 5000             # rows per Arrow batch handed back, at most,
+OUT_CHARS = 4 << 20         # and about so many characters
 
 
 def _flat_map(pages: DataFrame, read, columns: list[str]) -> DataFrame:
-    """Apply `read(html) -> rows` to each page, keeping page_key and thread_date."""
+    """Apply `read(html) -> rows` to each page, keeping page_key and thread_date.
+
+    A worker holds the Arrow batch it was handed (Spark bounds its bytes), one page as a
+    string, and one bounded batch of rows.
+    """
     names = ["page_key", "thread_date", *columns]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = []
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, pa.string()) for c in zip(*rows)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, chars = [], 0
         for batch in batches:
-            for key, date, html in zip(batch["page_key"], batch["thread_date"], batch["html"]):
-                rows.extend((key, date, *r) for r in read(html))
-                while len(rows) >= OUT_ROWS:
-                    yield pd.DataFrame(rows[:OUT_ROWS], columns=names)
-                    rows = rows[OUT_ROWS:]
+            for page in zip(*batch.columns):
+                key, date, html = (v.as_py() for v in page)
+                for r in read(html):
+                    rows.append((key, date, *r))
+                    chars += sum(len(v) for v in r if v)
+                    if len(rows) >= OUT_ROWS or chars >= OUT_CHARS:
+                        yield batch_of(rows)
+                        rows, chars = [], 0
         if rows:
-            yield pd.DataFrame(rows, columns=names)
+            yield batch_of(rows)
 
     schema = ", ".join(f"`{n}` string" for n in names)
     return (pages.filter(F.col("html").contains("athing"))
-            .select("page_key", "thread_date", "html").mapInPandas(run, schema))
+            .select(*(F.col(c).cast("string").alias(c)
+                      for c in ("page_key", "thread_date", "html"))).mapInArrow(run, schema))
 
 
 def parse_comments(pages: DataFrame, base_url: str = BASE_URL,

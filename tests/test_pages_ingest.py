@@ -483,3 +483,33 @@ def test_compaction_survives_a_crash_and_repeats_alike(spark, tmp_path):
     assert again > first and sorted(map(tuple, tables.read_compacted(spark, out).collect())) == rows
     tables.compact_comments(spark, store, out)
     assert len(list((tmp_path / "compacted").iterdir())) <= tables.KEEP_COMPACTED
+
+
+def test_long_rows_leave_a_worker_in_small_batches(spark):
+    import pandas as pd
+    import pyarrow as pa
+
+    from jobsignals.operators import pages
+
+    class Plan:
+        def filter(self, *_):
+            return self
+
+        select = filter
+
+        def mapInArrow(self, run, schema):
+            return lambda rows: run(iter([pa.RecordBatch.from_pylist(rows)]))
+
+        def mapInPandas(self, run, schema):
+            return lambda rows: run(iter([pd.DataFrame(rows)]))
+
+    def read(html):
+        done.append(html)
+        return [(html, "x" * 1_000_000)]
+
+    done = []
+    rows = [{"page_key": None, "thread_date": "d", "html": str(i)} for i in range(40)]
+    out = pages._flat_map(Plan(), read, ["id", "raw_text"])(rows)
+    next(out)
+    assert len(done) <= 6
+    assert sum(len(b) for b in out) + len(done[:5]) == 40 and len(done) == 40
