@@ -347,7 +347,10 @@ def foreign_page_comments(spark, sf_dir):
 
 
 def _drops(landed: DataFrame) -> list[DataFrame]:
-    """The pages in two parts that split the threads with more than one page."""
+    """The pages, built once, in two parts that split the threads with more than one page."""
+    path = until_exit(landed.sparkSession, "pages")
+    landed.write.parquet(path)
+    landed = landed.sparkSession.read.schema(landed.schema).parquet(path)
     return [landed.filter(F.col("page_no") % 2 == part) for part in (0, 1)]
 
 

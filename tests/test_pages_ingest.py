@@ -513,3 +513,14 @@ def test_long_rows_leave_a_worker_in_small_batches(spark):
     next(out)
     assert len(done) <= 6
     assert sum(len(b) for b in out) + len(done[:5]) == 40 and len(done) == 40
+
+
+def test_drops_build_the_pages_once(spark, sf_dir):
+    from jobsignals.plans import derived, queries
+
+    landed = derived.forum_pages(spark, sf_dir)
+    drops = queries._drops(landed)
+    assert all("Aggregate" not in d._jdf.queryExecution().toString() for d in drops)
+    both = drops[0].unionByName(drops[1])
+    assert both.dtypes == landed.dtypes and both.exceptAll(landed).isEmpty()
+    assert both.count() == landed.count()
