@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,9 @@ from jobsignals.llm.common import batches, strings, word_lists
 #: The id that ends every document.
 END_ID = 1
 #: Words kept by a worker; the memory of a worker stays bounded, the ids are the same.
-MOST_WORDS = 100_000
+MOST_WORDS = 200_000
+#: New words handed to the tokenizer at once, whose encodings are large.
+ENCODE_WORDS = 8192
 #: Bytes of text encoded at once.
 BATCH_BYTES = 1 << 20
 #: Latin letters, then punctuation that no rule of the tokenizer joins with letters.
@@ -50,8 +53,30 @@ class WordTokens:
         self.others: dict[str, int] = {}
         # Growing arrays: room doubles when full, so appending copies each id a few times only.
         self._starts, self._flat = np.zeros(1024, np.int64), np.zeros(4096, np.uint32)
+        self._again = np.zeros(1024, bool)  # words that a later batch had too
         self.n_words, self.n_ids = 0, 0
 
+    def trim(self) -> None:
+        """Forget the words seen in one batch only, or all if most were seen again."""
+        again = np.flatnonzero(self._again[:self.n_words])
+        if 2 * len(again) > self.most:
+            return self.clear()
+        begin, size = self.starts[again], self.starts[again + 1] - self.starts[again]
+        ends = np.cumsum(size)
+        n_ids = int(ends[-1]) if len(ends) else 0
+        flat = self.flat[np.arange(n_ids) + np.repeat(begin - (ends - size), size)]
+        now = dict(zip(again.tolist(), range(len(again))))
+        known = [{w: now[k] for w, k in words.items() if k in now}
+                 for words in (self.places, self.others)]
+        self.clear()
+        self.places, self.others = known
+        self.n_words, self.n_ids = len(again), n_ids
+        self._starts = self._room(self._starts, len(again) + 1)
+        self._starts[1:len(again) + 1] = ends
+        self._flat = self._room(self._flat, n_ids)
+        self._flat[:n_ids] = flat
+        self._again = self._room(self._again, len(again))
+
     @property
     def starts(self) -> np.ndarray:
         return self._starts[:self.n_words + 1]
@@ -69,26 +94,33 @@ class WordTokens:
         return bigger
 
     def _places(self, words: list[str], known: dict[str, int], tokenizer) -> np.ndarray:
-        new = [w for w in words if w not in known]
-        if new:
+        at = list(map(known.get, words))
+        holes = [i for i, k in enumerate(at) if k is None]
+        for some in (holes[i:i + ENCODE_WORDS] for i in range(0, len(holes), ENCODE_WORDS)):
+            new = [words[i] for i in some]
             ids = [e.ids for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            first = self.n_words
-            known.update(zip(new, range(first, first + len(new))))
-            ends = (np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
-                    + self._starts[self.n_words])
-            self._starts = self._room(self._starts, self.n_words + 1 + len(new))
-            self._starts[self.n_words + 1:self.n_words + 1 + len(new)] = ends
-            self.n_words += len(new)
-            flat = np.fromiter((i for x in ids for i in x), np.uint32)
+            first, n = self.n_words, len(new)
+            known.update(zip(new, range(first, first + n)))
+            at[some[0]:some[-1] + 1] = map(known.get, words[some[0]:some[-1] + 1])
+            ends = np.cumsum(np.fromiter(map(len, ids), np.int64, n)) + self._starts[first]
+            self._starts = self._room(self._starts, first + 1 + n)
+            self._starts[first + 1:first + 1 + n] = ends
+            self._again = self._room(self._again, first + n)
+            self.n_words += n
+            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(ends[-1]) - self.n_ids)
             self._flat = self._room(self._flat, self.n_ids + len(flat))
             self._flat[self.n_ids:self.n_ids + len(flat)] = flat
             self.n_ids += len(flat)
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        found = np.array(at, np.int64)
+        seen = np.ones(len(found), bool)
+        seen[holes] = False
+        self._again[found[seen]] = True
+        return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the offsets of the texts."""
         if len(self.starts) > self.most:
-            self.clear()
+            self.trim()
         coded, offsets = word_lists(texts)
         if not len(coded):
             return np.zeros(0, np.uint32), offsets

@@ -58,6 +58,19 @@ def test_ids_equal_the_tokenizer(spark, sf_dir, encode):
                 assert ids.tolist() == encode(part[row]) + [1]
 
 
+def test_a_full_cache_keeps_the_words_seen_again(encode):
+    import pyarrow as pa
+
+    coder = WordTokens(default_tokenizer(), 40)
+    often = "alpha beta gamma"
+    for i in range(30):
+        text = often + " " + " ".join(f"once{chr(97 + i)}{chr(97 + j)}" for j in range(25))
+        (_, ids), = token_batches(pa.array([text]), coder)
+        assert ids.tolist() == encode(text) + [1]
+        assert set(often.split()) <= set(coder.places) and coder.n_words <= 100
+    assert not any(w.startswith("oncea") for w in coder.places)
+
+
 @pytest.mark.parametrize("most", [64, 4096])
 def test_every_piece_is_packed_once(spark, encode, most):
     rows = ROWS + [(100 + i, " ".join(R.choices("abcdefgh", k=R.randrange(most)))) for i in range(80)]
