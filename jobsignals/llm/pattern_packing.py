@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobsignals.llm.common import doc_rows, save
-from jobsignals.llm.tokens import WordTokens, default_tokenizer, token_batches
+from jobsignals.llm.tokens import default_tokenizer, token_batches, word_tokens
 
 MAX_TOKENS = 4096
 CLASSES = 64
@@ -39,7 +39,7 @@ def pieces(docs: DataFrame, max_tokens: int = MAX_TOKENS, tokenizer: str | None
     path = tokenizer or default_tokenizer()
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordTokens(path)
+        coder = word_tokens(path)
         for b in parts:
             rows, out = [], []
             for row, ids in token_batches(b.column("text"), coder):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from jobsignals.llm.common import doc_rows
-from jobsignals.llm.tokens import WordTokens, default_tokenizer, token_batches
+from jobsignals.llm.tokens import default_tokenizer, token_batches, word_tokens
 from jobsignals.session import until_exit
 
 MAX_TOKENS = 4096
@@ -96,7 +96,7 @@ def packed(docs: DataFrame, max_tokens: int = MAX_TOKENS, tokenizer: str | None
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        coder = WordTokens(path)
+        coder = word_tokens(path)
         kind = id_bytes(coder.whole.get_vocab_size())
         number = TaskContext.get().partitionId() * TASK_SEQUENCES
         names = [c.split()[0] for c in SCHEMA.split(", ")]

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -15,11 +16,15 @@ from jobsignals.llm.common import batches, strings, word_lists
 #: The id that ends every document.
 END_ID = 1
 #: Words kept by a worker; the memory of a worker stays bounded, the ids are the same.
-MOST_WORDS = 200_000
+MOST_WORDS = 400_000
+#: Bytes of kept words and their ids, for words of any length.
+MOST_BYTES = 64 << 20
 #: New words handed to the tokenizer at once, whose encodings are large.
 ENCODE_WORDS = 8192
+#: Plain words joined to one text for the tokenizer, which spends more on a text than on a word.
+JOINED_WORDS = 128
 #: Bytes of text encoded at once.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 4 << 20
 #: Latin letters, then punctuation that no rule of the tokenizer joins with letters.
 SIMPLE = r"^(?P<core>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-&(-/:-@\[-`{-~]*)$"
 
@@ -30,6 +35,44 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class KnownWords:
+    """Distinct words and the bytes of their ids, looked up by whole batches in Arrow arrays."""
+
+    def __init__(self):
+        self.words = pa.array([], pa.large_string())
+        self.ids = pa.array([], pa.large_binary())
+        self.again = np.zeros(0, bool)  # words that a later batch had too
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def keep(self, kept: np.ndarray) -> None:
+        at = pa.array(np.flatnonzero(kept))
+        self.words, self.ids = self.words.take(at), self.ids.take(at)
+        self.again = np.zeros(len(at), bool)
+
+    def find(self, words: pa.Array, encode: Callable[[list[str]], pa.Array]) -> pa.Array:
+        """Ids of distinct words; the unknown ones are encoded and kept."""
+        found = pc.index_in(words, value_set=self.words)
+        hole = found.is_null().to_numpy(zero_copy_only=False)
+        at = found.fill_null(0).to_numpy().astype(np.int64)
+        self.again[at[~hole]] = True
+        new = words.filter(pa.array(hole))
+        if len(new):
+            at[hole] = len(self) + np.arange(len(new))
+            self.ids = pa.concat_arrays([self.ids, encode(strings(new))])
+            self.words = pa.concat_arrays([self.words, new])
+            self.again = np.append(self.again, np.zeros(len(new), bool))
+        return self.ids.take(pa.array(at))
+
+
+def id_values(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Runs of ids, given by their ends, as binary values."""
+    offsets = 4 * np.concatenate([[0], ends]).astype(np.int64)
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+
+
 class WordTokens:
     """Ids by word, for tokenizers that drop white space and never join across it.
 
@@ -43,109 +86,89 @@ class WordTokens:
 
         self.whole = Tokenizer.from_file(path)
         self.light = Tokenizer(self.whole.model)
-        self.light.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False,
-                                                            use_regex=False)
+        self.light.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.whole.get_vocab()
+        suffix = getattr(self.whole.model, "end_of_word_suffix", None)
+        self.last = np.zeros(1 + max(vocabulary.values(), default=0), bool)
+        if suffix:  # ids that can only be a word's last one
+            self.last[[k for piece, k in vocabulary.items() if piece.endswith(suffix)]] = True
         self.most = most_words
-        self.clear()
+        self.cores, self.others = KnownWords(), KnownWords()
 
-    def clear(self) -> None:
-        self.places: dict[str, int] = {}
-        self.others: dict[str, int] = {}
-        # Growing arrays: room doubles when full, so appending copies each id a few times only.
-        self._starts, self._flat = np.zeros(1024, np.int64), np.zeros(4096, np.uint32)
-        self._again = np.zeros(1024, bool)  # words that a later batch had too
-        self.n_words, self.n_ids = 0, 0
-
-    def trim(self) -> None:
-        """Forget the words seen in one batch only, or all if most were seen again."""
-        again = np.flatnonzero(self._again[:self.n_words])
-        if 2 * len(again) > self.most:
-            return self.clear()
-        begin, size = self.starts[again], self.starts[again + 1] - self.starts[again]
-        ends = np.cumsum(size)
-        n_ids = int(ends[-1]) if len(ends) else 0
-        flat = self.flat[np.arange(n_ids) + np.repeat(begin - (ends - size), size)]
-        now = dict(zip(again.tolist(), range(len(again))))
-        known = [{w: now[k] for w, k in words.items() if k in now}
-                 for words in (self.places, self.others)]
-        self.clear()
-        self.places, self.others = known
-        self.n_words, self.n_ids = len(again), n_ids
-        self._starts = self._room(self._starts, len(again) + 1)
-        self._starts[1:len(again) + 1] = ends
-        self._flat = self._room(self._flat, n_ids)
-        self._flat[:n_ids] = flat
-        self._again = self._room(self._again, len(again))
+    @property
+    def places(self) -> list[str]:
+        return strings(self.cores.words)
 
     @property
-    def starts(self) -> np.ndarray:
-        return self._starts[:self.n_words + 1]
+    def n_words(self) -> int:
+        return len(self.cores) + len(self.others)
 
     @property
-    def flat(self) -> np.ndarray:
-        return self._flat[:self.n_ids]
-
-    @staticmethod
-    def _room(a: np.ndarray, need: int) -> np.ndarray:
-        if need <= len(a):
-            return a
-        bigger = np.zeros(max(need, 2 * len(a)), a.dtype)
-        bigger[:len(a)] = a
-        return bigger
-
-    def _places(self, words: list[str], known: dict[str, int], tokenizer) -> np.ndarray:
-        at = list(map(known.get, words))
-        holes = [i for i, k in enumerate(at) if k is None]
-        for some in (holes[i:i + ENCODE_WORDS] for i in range(0, len(holes), ENCODE_WORDS)):
-            new = [words[i] for i in some]
-            ids = [e.ids for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            first, n = self.n_words, len(new)
-            known.update(zip(new, range(first, first + n)))
-            at[some[0]:some[-1] + 1] = map(known.get, words[some[0]:some[-1] + 1])
-            ends = np.cumsum(np.fromiter(map(len, ids), np.int64, n)) + self._starts[first]
-            self._starts = self._room(self._starts, first + 1 + n)
-            self._starts[first + 1:first + 1 + n] = ends
-            self._again = self._room(self._again, first + n)
-            self.n_words += n
-            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(ends[-1]) - self.n_ids)
-            self._flat = self._room(self._flat, self.n_ids + len(flat))
-            self._flat[self.n_ids:self.n_ids + len(flat)] = flat
-            self.n_ids += len(flat)
-        found = np.array(at, np.int64)
-        seen = np.ones(len(found), bool)
-        seen[holes] = False
-        self._again[found[seen]] = True
-        return found
+    def n_bytes(self) -> int:
+        return sum(x.words.nbytes + x.ids.nbytes for x in (self.cores, self.others))
+
+    def trim(self) -> None:
+        """Forget the words seen in one batch only, or all if most were seen again."""
+        for known in (self.cores, self.others):
+            known.keep(known.again)
+        if 2 * self.n_words > self.most or 2 * self.n_bytes > MOST_BYTES:
+            self.cores, self.others = KnownWords(), KnownWords()
+
+    def _apart(self, words: list[str], tokenizer) -> pa.Array:
+        """Each word encoded as a text of its own."""
+        ids = [e.ids for i in range(0, len(words), ENCODE_WORDS) for e in
+               tokenizer.encode_batch_fast(words[i:i + ENCODE_WORDS], add_special_tokens=False)]
+        ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+        return id_values(np.fromiter(chain.from_iterable(ids), np.uint32), ends)
+
+    def _joined(self, words: list[str]) -> pa.Array:
+        """Many plain words encoded as one text, parted again after the ids that end a word."""
+        texts = [" ".join(words[i:i + JOINED_WORDS]) for i in range(0, len(words), JOINED_WORDS)]
+        step = ENCODE_WORDS // JOINED_WORDS
+        ids = np.concatenate([
+            np.array(e.ids, np.uint32) for i in range(0, len(texts), step) for e in
+            self.light.encode_batch_fast(texts[i:i + step], add_special_tokens=False)])
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(words):  # the vocabulary does not mark ends, or lacks some letter
+            return self._apart(words, self.light)
+        return id_values(ids, ends)
+
+    def _whole(self, words: list[str]) -> pa.Array:
+        return self._apart(words, self.whole)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the offsets of the texts."""
-        if len(self.starts) > self.most:
+        if self.n_words > self.most or self.n_bytes > MOST_BYTES:
             self.trim()
         coded, offsets = word_lists(texts)
         if not len(coded):
             return np.zeros(0, np.uint32), offsets
         words = coded.dictionary
         parts = pc.extract_regex(words, SIMPLE)
-        plain = pc.is_valid(parts).to_numpy(zero_copy_only=False)
-        places = np.zeros((len(words), 2), np.int64)
-        nothing = self._places([""], self.others, self.whole)[0]
-        for field, lower in (("core", True), ("tail", False)):
-            side = pc.struct_field(parts, field).filter(pa.array(plain))
-            side = pc.dictionary_encode(pc.utf8_lower(side) if lower else side)
-            if lower:
-                at = self._places(strings(side.dictionary), self.places, self.light)
-            else:
-                at = self._places(strings(side.dictionary), self.others, self.whole)
-            places[plain, 0 if lower else 1] = at[np.asarray(side.indices)]
-        rest = strings(words.filter(pa.array(~plain)))
-        places[~plain, 0] = self._places(rest, self.others, self.whole)
-        places[~plain, 1] = nothing
-        per_word = places[np.asarray(coded.indices)].ravel()
-        begin, size = self.starts[per_word], self.starts[per_word + 1] - self.starts[per_word]
-        ends = np.cumsum(size)
-        take = np.arange(ends[-1]) + np.repeat(begin - (ends - size), size)
-        text_ends = np.concatenate([[0], ends])[2 * offsets]
-        return self.flat[take], text_ends
+        plain = parts.is_valid()
+        parts = parts.filter(plain)
+        core = pc.utf8_lower(pc.struct_field(parts, "core")).dictionary_encode()
+        tail = pc.struct_field(parts, "tail").dictionary_encode()
+        both = pc.binary_join_element_wise(
+            self.cores.find(core.dictionary, self._joined).take(core.indices),
+            self.others.find(tail.dictionary, self._whole).take(tail.indices),
+            pa.scalar(b"", pa.large_binary()))
+        rest = self.others.find(words.filter(pc.invert(plain)), self._whole)
+        plain = plain.to_numpy(zero_copy_only=False)
+        at = np.empty(len(words), np.int32)
+        at[plain], at[~plain] = np.arange(len(both)), len(both) + np.arange(len(rest))
+        taken = pa.concat_arrays([both, rest]).take(pa.array(at[np.asarray(coded.indices)]))
+        _, ends, data = taken.buffers()
+        ends = np.frombuffer(ends, np.int64, len(taken) + 1) // 4
+        return np.frombuffer(data, np.uint32, int(ends[-1])), ends[offsets]
+
+
+@lru_cache(maxsize=1)
+def word_tokens(path: str) -> WordTokens:
+    """The coder of a Python worker, kept for its later tasks."""
+    return WordTokens(path)
 
 
 def token_batches(part: pa.Array, coder: WordTokens) -> Iterator[tuple[int, np.ndarray]]:

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from helpers import documents, token_pieces, words
-from jobsignals.llm import mixing, pattern_packing, token_output
-from jobsignals.llm.tokens import WordTokens, default_tokenizer, token_batches
+from jobsignals.llm import mixing, pattern_packing, token_output, tokens
+from jobsignals.llm.tokens import WordTokens, default_tokenizer, token_batches, word_tokens
 
 R = random.Random(3)
 TEXTS = ["", None, " ", "one", "a b c " * 900, "Don't STOP 's x'll Ünï", "É́ é K İ ǅ 12.5 a1b2 x\x1cy ﬁ",
@@ -71,6 +71,58 @@ def test_a_full_cache_keeps_the_words_seen_again(encode):
     assert not any(w.startswith("oncea") for w in coder.places)
 
 
+class Counting:
+    """A tokenizer that counts the texts and characters it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts, self.chars = tokenizer, 0, 0
+
+    def encode_batch_fast(self, texts, **more):
+        self.texts += len(texts)
+        self.chars += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **more)
+
+
+def test_plain_words_are_encoded_together_and_once(encode):
+    import pyarrow as pa
+
+    r = random.Random(5)
+    new = sorted({"".join(r.choices("abcdefgéàöÿßthe", k=r.randrange(1, 40))) for _ in range(1500)})
+    texts = [" ".join(new), " ".join(reversed(new)), "The END, the end."]
+    coder = WordTokens(default_tokenizer())
+    coder.light = counting = Counting(coder.light)
+    for _ in range(2):
+        for row, ids in token_batches(pa.array(texts), coder):
+            assert ids.tolist() == encode(texts[row]) + [1]
+    # Far fewer texts than words, and no word twice.
+    assert 0 < counting.texts <= len(new) / 50 and counting.chars <= len(" ".join(new)) + 10
+
+
+def test_words_without_marked_ends_are_encoded_apart(encode):
+    import pyarrow as pa
+
+    coder = WordTokens(default_tokenizer())
+    coder.last[:] = False
+    for row, ids in token_batches(pa.array([t or "" for t in TEXTS]), coder):
+        assert ids.tolist() == encode(TEXTS[row] or "") + [1]
+
+
+def test_kept_words_are_bounded_in_bytes(encode, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(tokens, "MOST_BYTES", 20_000)
+    coder = WordTokens(default_tokenizer())
+    for i in range(12):
+        text = f"alpha beta {chr(97 + i) * 3000} {i}{'é' * 500}."
+        (_, ids), = token_batches(pa.array([text]), coder)
+        assert ids.tolist() == encode(text) + [1]
+        assert {"alpha", "beta"} <= set(coder.places) and coder.n_bytes <= 40_000
+
+
+def test_a_worker_keeps_its_words():
+    assert word_tokens(default_tokenizer()) is word_tokens(default_tokenizer())
+
+
 @pytest.mark.parametrize("most", [64, 4096])
 def test_every_piece_is_packed_once(spark, encode, most):
     rows = ROWS + [(100 + i, " ".join(R.choices("abcdefgh", k=R.randrange(most)))) for i in range(80)]
