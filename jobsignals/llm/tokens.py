@@ -24,7 +24,7 @@ ENCODE_WORDS = 8192
 #: Plain words joined to one text for the tokenizer, which spends more on a text than on a word.
 JOINED_WORDS = 128
 #: Bytes of text encoded at once.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 #: Latin letters, then punctuation that no rule of the tokenizer joins with letters.
 SIMPLE = r"^(?P<core>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-&(-/:-@\[-`{-~]*)$"
 

@@ -219,6 +219,36 @@ def test_written_matrices_read_back(spark, tmp_path, encode, monkeypatch):
                 assert row[a:b].tolist() == (encode(TEXTS[doc] or "") + [1])[start:start + 256]
 
 
+def test_packed_output_encodes_a_word_once_a_worker(encode, monkeypatch):
+    import pyarrow as pa
+    from types import SimpleNamespace
+
+    class Rows:
+        """A frame that hands over the function given to it."""
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(token_output, "doc_rows", lambda docs: Rows())
+    monkeypatch.setattr("pyspark.TaskContext.get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    word_tokens.cache_clear()
+    coder = word_tokens(default_tokenizer())
+    coder.light = counting = Counting(coder.light)
+    texts = ["Alpha beta, gamma", "", "beta gamma delta!", "ünï 12"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(4)), "text": texts})
+    for _ in range(3):  # tasks of one worker
+        for out in token_output.packed(None, 256)(iter([batch])):
+            for r in out.to_pylist():
+                cu = np.frombuffer(r["cu_seqlens"], "<i4")
+                for doc, a, b in zip(r["doc_id"], cu[:-1], cu[1:]):
+                    assert np.frombuffer(r["ids"], "<u2")[a:b].tolist() == encode(texts[doc]) + [1]
+    assert (counting.texts, counting.chars) == (1, len("alpha beta gamma delta ünï"))
+    word_tokens.cache_clear()
+
+
 SOURCES = ([(i, "w " * (1 + i % 7), "large") for i in range(700)]
            + [(1000 + i, "w " * 5, "small") for i in range(60)]
            + [(2000 + i, "w " * 9, None) for i in range(20)]
